@@ -1,7 +1,11 @@
 """All registered queries; importing this package registers them."""
 
 from tallgrass.catalog import (  # noqa: F401
+    count_queries,
+    graph_queries,
+    order_queries,
     reading_queries,
+    source_queries,
 )
 from tallgrass.catalog.registry import QUERIES, TWINS
 

@@ -26,15 +26,12 @@ def read_fixed_width(spark: SparkSession, path: str, fields: tuple = STATION_FIE
     )
 
 
-def positional_schema(width: int, positions: dict[int, tuple[str, str]]) -> T.StructType:
+def positional_schema(width: int, positions: dict[int, tuple[str, str]]) -> str:
     """Schema of a delimited file of which only some positions have a known name and type."""
     if max(positions) >= width:
         raise ValueError("a named position lies beyond the last column")
-    schema = T.StructType()
-    for i in range(width):
-        name, kind = positions.get(i, (f"_c{i}", "string"))
-        schema = schema.add(name, kind)
-    return schema
+    fields = (positions.get(i, (f"_c{i}", "string")) for i in range(width))
+    return ", ".join(f"`{name}` {kind}" for name, kind in fields)
 
 
 def read_positional_csv(
