@@ -6,6 +6,7 @@ from tallgrass.catalog import (  # noqa: F401
     order_queries,
     reading_queries,
     source_queries,
+    vector_queries,
 )
 from tallgrass.catalog.registry import QUERIES, TWINS
 

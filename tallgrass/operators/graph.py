@@ -74,15 +74,15 @@ def clustering(edges: DataFrame) -> DataFrame:
     """Closed triples over connected triples of the whole graph; NULL if no triple is connected."""
     edges = cut_lineage(edges)
     node_degrees = cut_lineage(degrees(edges))
-    triples = node_degrees.agg(
-        F.coalesce(F.sum(F.col("degree") * (F.col("degree") - 1)), F.lit(0)).cast("long").alias("connected_triples")
+    triples = node_degrees.select(
+        F.lit(0).cast("long").alias("triangles"), (F.col("degree") * (F.col("degree") - 1)).alias("connected_triples")
     )
-    # one row each
-    return triangles(edges, node_degrees).join(F.broadcast(triples), how="cross").select(
-        "triangles",
-        "connected_triples",
-        F.try_divide((6 * F.col("triangles")).cast("double"), F.col("connected_triples").cast("double")).alias("coefficient"),
+    found = triangles(edges, node_degrees).select("triangles", F.lit(0).cast("long").alias("connected_triples"))
+    both = triples.unionByName(found).agg(
+        F.sum("triangles").alias("triangles"), F.sum("connected_triples").alias("connected_triples")
     )
+    ratio = F.try_divide((6 * F.col("triangles")).cast("double"), F.col("connected_triples").cast("double"))
+    return both.select("triangles", "connected_triples", ratio.alias("coefficient"))
 
 
 def concern(edges: DataFrame, infected: DataFrame, removed: DataFrame | None = None, removed_weight: int = 3) -> DataFrame:
