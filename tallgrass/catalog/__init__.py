@@ -3,6 +3,7 @@
 from tallgrass.catalog import (  # noqa: F401
     count_queries,
     graph_queries,
+    model_queries,
     order_queries,
     reading_queries,
     source_queries,
