@@ -78,10 +78,11 @@ learning AS (
 
 
 def readings(t: Tables) -> DataFrame:
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    flag, status, day = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate")
     return t.lineitem.select(
         F.col("l_suppkey").cast("string").alias("StationId"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("Date"),
+        # the digits of yyyyMMdd put together as a number: cheaper than formatting a timestamp
+        (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("string").alias("Date"),
         F.when((flag == "A") & (status == "F"), "SNWD")
         .when(flag == "A", "PRCP")
         .when(flag == "N", "TMAX")
@@ -202,11 +203,14 @@ degrees AS (SELECT src AS id, count(*) AS degree FROM arcs GROUP BY 1)
 
 
 def raw_edges(t: Tables) -> DataFrame:
+    # (order, line, quantity, weight) as digits of one number: a long keeps the aggregate hash-based
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    detail = line * 64 + F.col("l_quantity").cast("long")
     return t.lineitem.select(
         F.col("l_suppkey").alias("src"),
         F.col("l_partkey").alias("dst"),
         F.col("l_discount").alias("w"),
-        F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_discount").alias("pos"),
+        (detail * 16 + F.round(F.col("l_discount") * 100).cast("long")).alias("pos"),
     )
 
 

@@ -102,13 +102,13 @@ def fulfil(order_needs: DataFrame, stock: DataFrame, block: int = 65536) -> Data
     first open order on its keys is always decided, so the rounds end.  Running sums are cut
     into blocks, so a key shared by a third of the orders is spread over many tasks.
     """
-    known = order_needs.join(stock, KEY, "left").withColumn("inventory", F.coalesce("inventory", F.lit(-1)))
-    possible = known.groupBy("order_id").agg(F.bool_and(F.col("inventory") >= F.col("amount")).alias("possible"))
-    decided = cut_lineage(possible)
-    results = decided.where(~F.col("possible")).select("order_id", F.lit(False).alias("accepted"))
-    lines = cut_lineage(
-        known.join(decided.where("possible").select("order_id"), "order_id", "left_semi").withColumn("open", F.lit(True))
+    known = cut_lineage(
+        order_needs.join(stock, KEY, "left").withColumn("inventory", F.coalesce("inventory", F.lit(-1)))
     )
+    short = F.bool_or(F.col("amount") > F.col("inventory"))
+    hopeless = cut_lineage(known.groupBy("order_id").agg(short.alias("_short")).where("_short").select("order_id"))
+    results = hopeless.select("order_id", F.lit(False).alias("accepted"))
+    lines = known.join(hopeless, "order_id", "left_anti").withColumn("open", F.lit(True))
     while True:
         bounded = sums_before(
             lines, KEY, "order_id",

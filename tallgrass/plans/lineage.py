@@ -1,23 +1,19 @@
-"""Cutting the plan of iterative jobs through reliable checkpoints."""
+"""Cutting the plan of iterative jobs by writing an intermediate table."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tallgrass.session import shared_folder
+from tallgrass.session import new_folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` into the shared folder.
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    The rows survive the loss of executors and the plan above starts from files, so the
-    plan of a loop does not grow.  The frame is persisted while it is written: a checkpoint
-    runs two jobs and would otherwise compute its last stage twice.
+    The rows survive the loss of executors, the plan of a loop does not grow, and the rows are
+    computed once (a checkpoint would compute the last stage twice).  Later steps read only
+    the columns they need, and Spark knows the true size when it chooses a join.
     """
-    shared_folder(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
+    path = new_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -52,5 +52,5 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a fresh folder below the shared one (not created yet)."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Path of a fresh folder (not created yet); all of an application lie in one folder."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
