@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tallgrass.catalog import fixtures as fx
+from tallgrass.catalog import linear_sql as la
 from tallgrass.catalog.reading_queries import learning
 from tallgrass.catalog.registry import Tables, query
 from tallgrass.functions import vectors as vec
@@ -145,24 +146,52 @@ def ml_perceptron(t: Tables) -> DataFrame:
     return frame.select("class", F.posexplode("w").alias("pos", "value")).withColumn("value", F.round("value", 6))
 
 
-@query("ml_pca")
+@query("ml_pca", f"""
+WITH points AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+{la.two_directions('points')}
+SELECT id, 0 AS axis, round(sum(p.x * v.x), 4) AS value FROM points p JOIN d1v v ON v.i = p.pos GROUP BY id
+UNION ALL SELECT id, 1, round(sum(p.x * v.x), 4) FROM points p JOIN d2v v ON v.i = p.pos GROUP BY id
+""")
 def ml_pca(t: Tables) -> DataFrame:
     rows = t.embeddings.select(F.col("vec_id").alias("id"), vec.to_doubles("embedding").alias("features"))
-    return ml.principal_projection(rows, 2).select("id", F.posexplode("projection").alias("axis", "value"))
+    return _rounded_axes(ml.principal_projection(rows, 2), "id")
+
+
+def _rounded_axes(projected: DataFrame, *keys: str) -> DataFrame:
+    axes = projected.select(*keys, F.posexplode("projection").alias("axis", "value"))
+    return axes.withColumn("value", F.round("value", 4))
 
 
 def _curve(t: Tables) -> DataFrame:
     return t.lineitem.select((F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 100000).alias("y"))
 
 
-@query("ml_least_squares")
+def _moments_sql(*terms: str) -> str:
+    """Sums of all products of the terms as a matrix table ``m``."""
+    cells = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, sum(({a}) * ({b})) AS v FROM c" for i, a in enumerate(terms) for j, b in enumerate(terms)
+    )
+    return f"WITH c AS (SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem), m AS ({cells})"
+
+
+@query("ml_least_squares", f"""
+{_moments_sql('1.0', 'x', 'x * x', '-x * y', '-x * x * y', 'y')}, rows5 AS (SELECT * FROM m WHERE i < 5), {la.gauss_jordan('rows5', 5)}
+SELECT chr(CAST(97 + i AS INTEGER)) AS name, round(v, 4) AS value FROM g5 WHERE j = 5
+""")
 def ml_least_squares(t: Tables) -> DataFrame:
-    return ml.rational_fit(_curve(t))
+    return ml.rational_fit(_curve(t)).withColumn("value", F.round("value", 4))
 
 
-@query("ml_total_least_squares")
+@query("ml_total_least_squares", f"""
+{_moments_sql('-1.0', '-x', '-x * x', 'y', 'x * y', 'x * x * y')},
+wide AS (SELECT * FROM m UNION ALL SELECT i, j + 6, CAST(i = j AS INTEGER) FROM m),
+{la.gauss_jordan('wide', 6)},
+inverse AS (SELECT i, j - 6 AS j, v FROM g6 WHERE j >= 6),
+{la.leading_vector('inverse', 7, 'd1')}
+SELECT chr(CAST(97 + i AS INTEGER)) AS name, round(x, 4) AS value FROM d1v
+""")
 def ml_total_least_squares(t: Tables) -> DataFrame:
-    return ml.rational_fit_unit(_curve(t))
+    return ml.rational_fit_unit(_curve(t)).withColumn("value", F.round("value", 4))
 
 
 YEAR, PERIODS = 1996, 12
@@ -216,17 +245,53 @@ def win_log_return(t: Tables) -> DataFrame:
     return _six(returns, "log_return").select("symbol", "date", "log_return")
 
 
-@query("ser_project_sector")
+@query("ser_project_sector", f"""
+{_SERIES},
+points AS (
+  SELECT symbol AS id, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos, x FROM (
+    SELECT symbol, date, ln(close) - lag(ln(close)) OVER (PARTITION BY symbol ORDER BY date) AS x
+    FROM complete JOIN securities USING (symbol)) WHERE x IS NOT NULL),
+{la.two_directions('points')},
+projected AS (
+  SELECT id, 0 AS axis, sum(p.x * v.x) AS value FROM points p JOIN d1v v ON v.i = p.pos GROUP BY id
+  UNION ALL SELECT id, 1, sum(p.x * v.x) FROM points p JOIN d2v v ON v.i = p.pos GROUP BY id)
+SELECT id AS symbol, sector, axis, round(value, 4) AS value FROM projected JOIN securities ON symbol = id
+WHERE sector IN ('NATION_3', 'NATION_4', 'NATION_5')
+""")
 def ser_project_sector(t: Tables) -> DataFrame:
     closes = se.load_complete(fx.prices(t), fx.securities(t), YEAR, PERIODS)
     vectors = se.as_vectors(se.log_returns(closes), "log_return", "sector")
     projected = ml.principal_projection(vectors, 2).where(F.col("sector").isin("NATION_3", "NATION_4", "NATION_5"))
-    return projected.select("symbol", "sector", F.posexplode("projection").alias("axis", "value"))
+    return _rounded_axes(projected, "symbol", "sector")
+
+
+SWEEPS = 100
+
+# One point of every series per step.  A series of n points is done after (SWEEPS + 1) * n steps,
+# or when a whole sweep has changed nothing: prev holds x as it was when the sweep began.
+_DENOISE = f"""
+WITH RECURSIVE signal AS (
+  SELECT series, list(pos ORDER BY pos) AS places, list(value ORDER BY pos) AS s FROM (
+    SELECT l_suppkey AS series, CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS pos, avg(l_quantity) AS value FROM lineitem GROUP BY ALL)
+  GROUP BY series),
+sweep(series, places, s, x, prev, step) USING KEY (series) AS (
+  SELECT series, places, s, s, s, 0 FROM signal
+  UNION
+  SELECT series, places, s, x[:k - 1] || [CASE WHEN s[k] < low THEN least(s[k] + 1 / mu, low)
+                                             WHEN s[k] > high THEN greatest(s[k] - 1 / mu, high) ELSE s[k] END] || x[k + 1:],
+         CASE WHEN k = 1 THEN x ELSE prev END, step + 1
+  FROM (
+    SELECT *, least(x[lft], x[rgt]) AS low, greatest(x[lft], x[rgt]) AS high, CASE WHEN k IN (1, n) THEN 1.0 ELSE 0.5 END AS mu FROM (
+      SELECT *, CASE WHEN k = 1 THEN 2 ELSE k - 1 END AS lft, CASE WHEN k = n THEN n - 1 ELSE k + 1 END AS rgt FROM (
+        SELECT *, len(s) AS n, step % len(s) + 1 AS k FROM sweep)))
+  WHERE n > 1 AND step < {SWEEPS + 1} * n AND NOT (k = 1 AND step > 0 AND x = prev))
+SELECT series, unnest(places) AS pos, round(unnest(s), 6) AS value, round(unnest(x), 6) AS smooth FROM sweep
+"""
 
 
-@query("ser_denoise")
+@query("ser_denoise", _DENOISE)
 def ser_denoise(t: Tables) -> DataFrame:
     monthly = t.lineitem.groupBy(
         F.col("l_suppkey").alias("series"), F.date_format("l_shipdate", "yyyyMM").cast("int").alias("pos")
     ).agg(F.avg("l_quantity").alias("value"))
-    return se.denoise(monthly, alpha=0.5, sweeps=100)
+    return _six(_six(se.denoise(monthly, alpha=0.5, sweeps=SWEEPS), "value"), "smooth")

@@ -111,7 +111,30 @@ def tbl_undo(t: Tables) -> DataFrame:
     ).unionByName(od.undo_lines(lines, undone).select(F.lit("line").alias("kind"), "order_id", *od.KEY, "amount"))
 
 
-@query("tbl_fulfil_waves")
+def _waves_sql(rounds: int) -> str:
+    """Serial service in rounds: what earlier orders take at least and at most decides an order.
+
+    An order still open after the last round shows as NULL, so too few rounds cannot go unseen.
+    """
+    parts = [
+        "w0 AS (SELECT order_id, site, product, amount, coalesce(inventory, -1) AS inventory, CAST(NULL AS BOOLEAN) AS done "
+        "FROM needs LEFT JOIN stock USING (site, product))"
+    ]
+    for i in range(rounds):
+        parts.append(f"""b{i} AS (
+  SELECT *, coalesce(sum(amount) FILTER (WHERE done IS NULL OR done) OVER w, 0) AS most,
+         coalesce(sum(amount) FILTER (WHERE done) OVER w, 0) AS least
+  FROM w{i} WINDOW w AS (PARTITION BY site, product ORDER BY order_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+        parts.append(f"""v{i} AS (
+  SELECT order_id, CASE WHEN any_value(done) IS NOT NULL THEN any_value(done)
+                        WHEN bool_and(most + amount <= inventory) THEN TRUE
+                        WHEN bool_or(least + amount > inventory) THEN FALSE END AS now
+  FROM b{i} GROUP BY order_id)""")
+        parts.append(f"w{i + 1} AS MATERIALIZED (SELECT order_id, site, product, amount, inventory, now AS done FROM w{i} JOIN v{i} USING (order_id))")
+    return ",\n".join(parts)
+
+
+@query("tbl_fulfil_waves", f"WITH {fx.LINES_SQL}, {_waves_sql(12)} SELECT DISTINCT order_id, done AS accepted FROM w12")
 def tbl_fulfil_waves(t: Tables) -> DataFrame:
     return od.fulfil(_needs(t), fx.stock(t))
 
