@@ -76,18 +76,22 @@ def _top_k(k: int, p: float):
     return search
 
 
-def _search(queries: DataFrame, train: DataFrame, counts: DataFrame, k: int, p: float, rows_per_block: int) -> DataFrame:
+def _search(
+    queries: DataFrame, train: DataFrame, asked: dict[tuple[int, int], int], known: dict[tuple[int, int], int],
+    k: int, p: float, rows_per_block: int,
+) -> DataFrame:
     """Block-wise search of each query in the cell it is assigned to.
 
-    ``counts`` has one row per part and cell, (q_rows, t_rows): bounded by the number of pivots.
+    ``asked`` and ``known`` count the query and training rows per (part, cell): their size is
+    bounded by the number of pivots.
     """
-    blocks = F.broadcast(
-        counts.select(
-            "part", "cell",
-            F.ceil(F.col("q_rows") / rows_per_block).cast("int").alias("q_blocks"),
-            F.ceil(F.col("t_rows") / rows_per_block).cast("int").alias("t_blocks"),
-        )
-    )
+    plan = [
+        (part, cell, -(-n // rows_per_block), -(-known[part, cell] // rows_per_block))
+        for (part, cell), n in asked.items()
+        if (part, cell) in known
+    ]
+    schema = "part int, cell int, q_blocks int, t_blocks int"
+    blocks = F.broadcast(queries.sparkSession.createDataFrame(plan, schema))
 
     def spread(df: DataFrame, key: str, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
         # a row stays in one of the blocks of its own side and visits all blocks of the other
@@ -100,6 +104,11 @@ def _search(queries: DataFrame, train: DataFrame, counts: DataFrame, k: int, p:
     return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(_top_k(k, p), _FOUND)
 
 
+def _cell_counts(df: DataFrame) -> dict[tuple[int, int], int]:
+    counted = df.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("rows")).collect()
+    return {(r["part"], r["cell"]): r["rows"] for r in counted}
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("part", "query_id").orderBy("dist", "label", "train_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -127,24 +136,19 @@ def nearest_by_part(
 
     # one row per part and pivot
     shells = train.groupBy("part", "cell").agg(
-        F.count(F.lit(1)).alias("t_rows"), F.min("gap").alias("inner"), F.max("gap").alias("outer")
-    )
-    shells = cut_lineage(shells)
-    homes = queries.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("q_rows"))
-    own = cut_lineage(_search(queries, train, shells.join(homes, ["part", "cell"]), k, p, rows_per_block))
+        F.count(F.lit(1)).alias("rows"), F.min("gap").alias("inner"), F.max("gap").alias("outer")
+    ).collect()
+    known = {(r["part"], r["cell"]): r["rows"] for r in shells}
+    own = cut_lineage(_search(queries, train, _cell_counts(queries), known, k, p, rows_per_block))
     reach = _best(own, k).groupBy("part", "query_id").agg(F.max("dist").alias("_d"), F.count(F.lit(1)).alias("_n"))
     bound = F.when(F.col("_n") == k, F.col("_d")).otherwise(F.lit(float("inf")))
     open_queries = queries.drop("gap").join(reach, ["part", "query_id"], "left").select(
         "part", "query_id", "features", F.col("cell").alias("home"), F.coalesce(bound, F.lit(float("inf"))).alias("bound")
     )
-
-    table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-    for r in shells.orderBy("part", "cell").collect():
-        cells, inner, outer = table.setdefault(r["part"], ([], [], []))
-        cells.append(r["cell"])
-        inner.append(r["inner"])
-        outer.append(r["outer"])
-    table = {part: tuple(np.asarray(v) for v in lists) for part, lists in table.items()}
+    table = {
+        part: tuple(np.asarray([r[c] for r in shells if r["part"] == part]) for c in ("cell", "inner", "outer"))
+        for part in {r["part"] for r in shells}
+    }
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,8 +180,7 @@ def nearest_by_part(
 
     kind = queries.schema["features"].dataType.simpleString()
     visits = open_queries.mapInArrow(candidates, f"part int, cell int, query_id long, features {kind}")
-    visit_counts = cut_lineage(visits.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("q_rows")))
-    away = _search(visits, train, shells.join(visit_counts, ["part", "cell"]), k, p, rows_per_block)
+    away = _search(visits, train, _cell_counts(visits), known, k, p, rows_per_block)
     return _best(own.unionByName(away), k)
 
 

@@ -29,16 +29,16 @@ def row_index(df: DataFrame, *order: Column | str, name: str = "idx") -> DataFra
         .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = cut_lineage(ranged).withColumn("_slice", F.shiftright("_place", _PARTITION_SHIFT))
-    # one row per partition, so the window below is over a few thousand rows at most
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
+    # one count per partition comes back, a few thousand numbers at most
+    sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows")).collect()
+    offsets, total = [], 0
+    for part in sorted(sizes):
+        offsets.append((part["_slice"], total))
+        total += part["_rows"]
+    offset = df.sparkSession.createDataFrame(offsets, "_slice long, _offset long")
     in_slice = F.col("_place") - F.shiftleft(F.col("_slice"), _PARTITION_SHIFT)
     return (
-        placed.join(F.broadcast(offsets), "_slice")
+        placed.join(F.broadcast(offset), "_slice")
         .withColumn(name, F.col("_offset") + in_slice)
         .drop("_slice", "_place", "_offset")
     )
