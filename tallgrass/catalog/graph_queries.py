@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallgrass.catalog import fixtures as fx
 from tallgrass.catalog.registry import Tables, query
 from tallgrass.operators import graph as gr
+from tallgrass.plans.lineage import cut_lineage
 
 CONTAGION = 1.5
 ROUNDS = 4
@@ -17,13 +18,18 @@ def _edges(t: Tables) -> DataFrame:
     return gr.build(fx.raw_edges(t))
 
 
-def _seeds(t: Tables) -> DataFrame:
+def _kept_edges(t: Tables) -> DataFrame:
+    """The edges as a written table, for queries that go over them more than once."""
+    return cut_lineage(_edges(t))
+
+
+def _seeds(edges: DataFrame) -> DataFrame:
     """The first nodes by number, as the seed list gives them."""
-    return gr.degrees(_edges(t)).select("id").orderBy("id").limit(SEEDS)
+    return gr.degrees(edges).select("id").orderBy("id").limit(SEEDS)
 
 
-def _removed(t: Tables) -> DataFrame:
-    return t.supplier.where("s_acctbal < 0").select(F.col("s_suppkey").alias("id")).join(_seeds(t), "id", "left_anti")
+def _removed(t: Tables, seeds: DataFrame) -> DataFrame:
+    return t.supplier.where("s_acctbal < 0").select(F.col("s_suppkey").alias("id")).join(seeds, "id", "left_anti")
 
 
 _STATE = f"""
@@ -82,12 +88,15 @@ def gr_clustering(t: Tables) -> DataFrame:
 
 @query("gr_concern", _STATE + _CONCERN)
 def gr_concern(t: Tables) -> DataFrame:
-    return gr.concern(_edges(t), _seeds(t))
+    edges = _kept_edges(t)
+    return gr.concern(edges, _seeds(edges))
 
 
 @query("gr_concern_weighted", _STATE + _WEIGHTED)
 def gr_concern_weighted(t: Tables) -> DataFrame:
-    return gr.concern(_edges(t), _seeds(t), _removed(t))
+    edges = _kept_edges(t)
+    seeds = _seeds(edges)
+    return gr.concern(edges, seeds, _removed(t, seeds))
 
 
 def _rounds_sql() -> str:
@@ -111,7 +120,8 @@ def _rounds_sql() -> str:
 
 @query("gr_threshold_propagation", f"{_STATE}, {_rounds_sql()} SELECT id, round FROM n{ROUNDS} WHERE inf")
 def gr_threshold_propagation(t: Tables) -> DataFrame:
-    return gr.threshold_spread(_edges(t), _seeds(t), CONTAGION, ROUNDS)
+    edges = _kept_edges(t)
+    return gr.threshold_spread(edges, _seeds(edges), CONTAGION, ROUNDS)
 
 
 @query("gr_frontier_exposure", f"""
@@ -123,21 +133,24 @@ SELECT id, CASE WHEN max(p) >= 1 THEN 1.0 ELSE 1 - exp(sum(CASE WHEN p < 1 THEN
 FROM reach GROUP BY id
 """)
 def gr_frontier_exposure(t: Tables) -> DataFrame:
-    edges = _edges(t)
-    seeds, removed = _seeds(t), _removed(t)
+    edges = _kept_edges(t)
+    seeds = _seeds(edges)
+    removed = _removed(t, seeds)
     susceptible = gr.degrees(edges).join(seeds, "id", "left_anti").join(removed, "id", "left_anti")
     return gr.frontier_exposure(edges, seeds, susceptible, gr.concern(edges, seeds, removed), 8.0)
 
 
 @query("join_set_diff", f"{_STATE} SELECT id FROM degrees WHERE id NOT IN (SELECT id FROM seeds)")
 def join_set_diff(t: Tables) -> DataFrame:
-    return gr.degrees(_edges(t)).select("id").join(_seeds(t), "id", "left_anti")
+    nodes = gr.degrees(_kept_edges(t)).select("id")
+    return nodes.join(nodes.orderBy("id").limit(SEEDS), "id", "left_anti")
 
 
 @query("set_union_distinct", f"""
 {_STATE} SELECT id FROM seeds UNION SELECT dst FROM arcs WHERE src IN (SELECT id FROM seeds)
 """)
 def set_union_distinct(t: Tables) -> DataFrame:
-    seeds = _seeds(t)
-    reached = gr.mirror(_edges(t)).join(seeds.withColumnRenamed("id", "src"), "src", "left_semi")
+    edges = _kept_edges(t)
+    seeds = _seeds(edges)
+    reached = gr.mirror(edges).join(seeds.withColumnRenamed("id", "src"), "src", "left_semi")
     return seeds.union(reached.select("dst")).distinct()

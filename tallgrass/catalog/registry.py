@@ -22,7 +22,12 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load_table(self.spark, self.folder, name)
+        # called only for names not set yet: a table is opened once per query
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = load_table(self.spark, self.folder, name)
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

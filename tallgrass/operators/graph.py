@@ -29,8 +29,10 @@ def build(raw: DataFrame, position: Column | str = "pos") -> DataFrame:
 
 
 def mirror(edges: DataFrame) -> DataFrame:
-    forward = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"), "w")
-    return forward.union(edges.select("b", "a", "w"))
+    """Both directions of every edge, exploded from one row so the edges are read once."""
+    forward = F.struct(F.col("a").alias("src"), F.col("b").alias("dst"))
+    backward = F.struct(F.col("b").alias("src"), F.col("a").alias("dst"))
+    return edges.select(F.explode(F.array(forward, backward)).alias("_arc"), "w").select("_arc.src", "_arc.dst", "w")
 
 
 def degrees(edges: DataFrame) -> DataFrame:

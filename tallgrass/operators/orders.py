@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
-from tallgrass.plans.ordering import sums_before
+from tallgrass.plans.ordering import row_index, sums_before
 
 KEY = ["site", "product"]
 
@@ -15,6 +15,13 @@ def needs(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id", *KEY).agg(F.sum("amount").cast("long").alias("amount"))
 
 
+def number_orders(lines: DataFrame, name: str = "order_id") -> DataFrame:
+    """Replace order names by their position in name order, the order of service; the name
+    stays as ``order_name``."""
+    places = row_index(lines.select(name).distinct(), name, name="_place")
+    return lines.join(places, name).withColumnRenamed(name, "order_name").withColumnRenamed("_place", "order_id")
+
+
 def lines_by_site(lines: DataFrame, span: int = 10_000) -> DataFrame:
     """The lines of each order and site as sorted lists of (product, amount).
 
@@ -95,6 +102,7 @@ def undo_lines(ordered: DataFrame, undone: DataFrame) -> DataFrame:
 def fulfil(order_needs: DataFrame, stock: DataFrame, block: int = 65536) -> DataFrame:
     """Serve all orders one after the other, each filled whole or rejected: (order_id, accepted).
 
+    Order ids are whole numbers in the order of service (see ``number_orders``).
     The serial result without serial work.  Along each (site, product) two running sums over
     the earlier orders bound what they take: the accepted ones (least) and the accepted plus
     the open ones (most).  A line fits for certain if even the most leaves enough, and fails

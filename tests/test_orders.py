@@ -100,6 +100,11 @@ def test_fulfil_on_the_test_tables_equals_the_serial_loop(spark):
     assert 0 < sum(got.values()) < len(got)
 
 
+def test_orders_are_numbered_by_name(spark):
+    lines = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3)], "order_id string, amount int")
+    assert rows(od.number_orders(lines).select("order_name", "order_id", "amount")) == [("a", 0, 2), ("b", 1, 1), ("b", 1, 3)]
+
+
 def test_audits(spark):
     df = spark.createDataFrame([(1, 5), (1, 6), (2, None)], "k int, v int")
     assert rows(au.duplicate_keys(df, "k")) == [(1, 2)]
