@@ -43,7 +43,7 @@ def test_rank_in_group_with_one_hot_group(spark):
     assert got == want
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(n=st.integers(1, 40), folds=st.integers(2, 7))
 def test_folds_differ_by_at_most_one_and_the_first_are_larger(spark, n, folds):
     df = spark.range(n).select("id", fold_of(F.col("id"), n, folds).alias("fold"))
