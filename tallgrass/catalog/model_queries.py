@@ -12,6 +12,7 @@ from tallgrass.catalog.registry import Tables, query
 from tallgrass.functions import vectors as vec
 from tallgrass.operators import models as ml
 from tallgrass.operators import series as se
+from tallgrass.plans.lineage import cut_lineage
 from tallgrass.plans.splits import hash_split
 
 _WHOLE = " AND ".join(f'"{c}" IS NOT NULL' for c in ("PRCP", "Elevation", *ml.RAIN_FEATURES))
@@ -28,7 +29,8 @@ def _rain(t: Tables) -> DataFrame:
 
 def _rain_split(t: Tables) -> tuple[DataFrame, DataFrame]:
     named = _rain(t).withColumn("row_id", F.concat_ws("/", *_KEYS))
-    parts = hash_split(named, "row_id", 0.7, seed=11).select("label", "features", "is_train")
+    # written once: a fit and its evaluation go over the table many times
+    parts = cut_lineage(hash_split(named, "row_id", 0.7, seed=11).select("label", "features", "is_train"))
     return parts.where("is_train").drop("is_train"), parts.where("NOT is_train").drop("is_train")
 
 

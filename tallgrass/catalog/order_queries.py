@@ -8,6 +8,7 @@ from tallgrass.catalog import fixtures as fx
 from tallgrass.catalog.registry import Tables, query
 from tallgrass.operators import audits as au
 from tallgrass.operators import orders as od
+from tallgrass.plans.lineage import cut_lineage
 
 
 def _needs(t: Tables) -> DataFrame:
@@ -102,7 +103,7 @@ UNION ALL SELECT 'line', order_id, site, product, amount FROM lines_after
 
 @query("tbl_undo", _UNDO)
 def tbl_undo(t: Tables) -> DataFrame:
-    lines, stock = _accepted(t), fx.stock(t)
+    lines, stock = cut_lineage(_accepted(t)), fx.stock(t)
     failed = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("order_id"))
     undone = lines.join(failed, "order_id", "left_semi")
     after = od.undo_stock(od.apply_lines(stock, lines).drop("below_zero"), stock, undone)

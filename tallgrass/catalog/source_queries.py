@@ -154,7 +154,7 @@ def _payload_stream(t: Tables) -> DataFrame:
     """The readings as JSON payload files, read back as a stream of about five micro-batches."""
     folder = new_folder(t.spark, "payloads")
     rows = fx.readings(t)
-    payload = F.to_json(F.struct(*rd.READING_SCHEMA.fieldNames()))
+    payload = F.to_json(F.struct(*rd.READING_FIELDS))
     per_file = rows.count() // STREAM_BATCHES + 1
     rows.select(payload.alias("value")).write.option("maxRecordsPerFile", per_file).text(folder)
     files_written = len(t.spark.read.text(folder).inputFiles())

@@ -7,25 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # fixed values: field names of the incoming payload and of the stage tables
-READING_SCHEMA = T.StructType(
-    [
-        T.StructField("StationId", T.StringType(), False),
-        T.StructField("Date", T.StringType(), False),
-        T.StructField("Variable", T.StringType(), False),
-        T.StructField("Value", T.IntegerType(), False),
-        T.StructField("M_Flag", T.StringType(), True),
-        T.StructField("Q_Flag", T.StringType(), True),
-        T.StructField("S_Flag", T.StringType(), True),
-        T.StructField("ObsTime", T.StringType(), True),
-    ]
-)
+READING_FIELDS = {
+    "StationId": "string",
+    "Date": "string",
+    "Variable": "string",
+    "Value": "int",
+    "M_Flag": "string",
+    "Q_Flag": "string",
+    "S_Flag": "string",
+    "ObsTime": "string",
+}
+READING_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in READING_FIELDS.items())
 VARIABLES = ("PRCP", "TMAX", "TMIN", "SNWD")
 NON_NEGATIVE = ("PRCP", "SNWD")
 MONTH_KEYS = ["StationId", "Year_Rec", "Month_Rec"]
 LAG_NAMES = {1: "ONE_YEAR_PRCP", 2: "TWO_YEAR_PRCP", 5: "FIVE_YEAR_PRCP"}
 
 
-def decode_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def decode_json(df: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
     """Expand a JSON text column; an unreadable payload becomes a row of NULLs."""
     return df.select(F.from_json(F.col(value).cast("string"), schema).alias("_doc")).select("_doc.*")
 

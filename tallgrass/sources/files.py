@@ -68,13 +68,16 @@ def trips_from_kv(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_nested_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Nested records with an inferred schema.
+def read_nested_json(
+    spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Nested records; without a ``schema`` one pass over the data infers it.
 
     One record per line is split over tasks; a file that is one JSON array
     (``multi_line=True``) is read by one task per file.
     """
-    return spark.read.option("multiLine", multi_line).json(path)
+    reader = spark.read.option("multiLine", multi_line)
+    return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -56,7 +56,7 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-def raw_append(payloads: DataFrame, target: str, checkpoint: str, schema: T.StructType = READING_SCHEMA) -> None:
+def raw_append(payloads: DataFrame, target: str, checkpoint: str, schema: T.StructType | str = READING_SCHEMA) -> None:
     run_available(decode_json(payloads, schema), batch_writer(target), checkpoint)
 
 
