@@ -115,7 +115,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_by_part(
-    queries: DataFrame, train: DataFrame, k: int, p: float = 2.0, rows_per_block: int = 4096, max_pivots: int = 2048
+    queries: DataFrame, train: DataFrame, k: int, p: float = 2.0, rows_per_block: int = 16384, max_pivots: int = 2048
 ) -> DataFrame:
     """The k nearest training rows of every query, within each ``part``.
 

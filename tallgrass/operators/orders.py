@@ -18,8 +18,8 @@ def needs(lines: DataFrame) -> DataFrame:
 def number_orders(lines: DataFrame, name: str = "order_id") -> DataFrame:
     """Replace order names by their position in name order, the order of service; the name
     stays as ``order_name``."""
-    places = row_index(lines.select(name).distinct(), name, name="_place")
-    return lines.join(places, name).withColumnRenamed(name, "order_name").withColumnRenamed("_place", "order_id")
+    places = row_index(lines.select(name).distinct(), name, name="_at")
+    return lines.join(places, name).withColumnRenamed(name, "order_name").withColumnRenamed("_at", "order_id")
 
 
 def lines_by_site(lines: DataFrame, span: int = 10_000) -> DataFrame:

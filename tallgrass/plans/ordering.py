@@ -23,6 +23,8 @@ def row_index(df: DataFrame, *order: Column | str, name: str = "idx") -> DataFra
     """
     if not order:
         raise ValueError("row_index needs an order")
+    if name in ("_slice", "_place", "_offset"):
+        raise ValueError(f"{name} is used inside row_index")
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

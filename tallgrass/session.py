@@ -40,13 +40,11 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode."""
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
 

@@ -46,6 +46,12 @@ def test_nearest_with_fewer_rows_than_k(spark):
     assert nb.nearest(frame(spark, np.eye(3)[:1], "query_id"), train, 10).count() == 3
 
 
+def test_nearest_without_queries_is_empty(spark):
+    train = frame(spark, np.eye(3), "train_id", [0, 1, 2])
+    none = frame(spark, np.eye(3), "query_id").where("query_id < 0")
+    assert nb.nearest(none, train, 2).count() == 0
+
+
 def test_nearest_within_parts(spark):
     q = spark.createDataFrame([(1, 0, [0.0]), (2, 0, [0.0])], "part int, query_id long, features array<double>")
     t = spark.createDataFrame([(1, 5, [9.0], 0), (2, 6, [1.0], 1), (2, 7, [2.0], 1)], "part int, train_id long, features array<double>, label int")
