@@ -28,11 +28,12 @@ from tallgrass.llm.bpe import text_slices
 #: Labelled documents, toxic and ordinary, that the dictionaries and then the calibration see, at
 #: most; and characters of each of them.  Scored texts are read whole.
 TRAIN_TOXIC, TRAIN_ORDINARY, TRAIN_CHARS = 2000, 6000, 6000
-#: Share of the sample that the dictionaries are trained on; the rest calibrates.
-TRAIN_SHARE = 2 / 3
+#: Parts of the sample; each is calibrated with dictionaries trained on the others.
+FOLDS = 3
 #: Bytes of a window, of the dictionary of one class and of the shared dictionary.
 WINDOW, CLASS_BYTES, SHARED_BYTES = 256, 4096, 112_000
-#: Independent documents that must have a word before it goes into the dictionary of a class.
+#: Independent documents that must have a word before it goes into the dictionary of a class (fewer, down
+#: to two, if there are fewer than 20 times as many toxic documents).
 LEAST_DOCS = 6
 #: zstandard: level and shortest match.
 LEVEL, SHORTEST = 5, 4
@@ -132,29 +133,34 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+def _dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
+    t, o = _word_counts(toxic), _word_counts(ordinary)
+    least = max(2, min(LEAST_DOCS, len(toxic) // 20))
+    own = [_dictionary({w: n for w, n in a.items() if n >= least and w not in b}, CLASS_BYTES, 1000) for a, b in ((t, o), (o, t))]
+    both = _dictionary({w: n for w, n in o.items() if w in t}, SHARED_BYTES, 20)
+    size = min(map(len, own))  # equal sizes: the same distances to the shared part
+    return ToxicityModel(own[0][len(own[0]) - size:] + both, own[1][len(own[1]) - size:] + both, [], [], [])
+
+
 def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
     """Dictionaries and calibration from texts of either class; ``share`` of toxic texts in the whole corpus.
 
-    Without any toxic or ordinary text the score is ``share`` for every text.
+    Each text is calibrated with dictionaries that have not seen it.  With fewer than FOLDS texts
+    of a class the score is ``share`` for every text.
     """
-    cut_t, cut_o = math.ceil(len(toxic) * TRAIN_SHARE), math.ceil(len(ordinary) * TRAIN_SHARE)
-    t, o = _word_counts(toxic[:cut_t]), _word_counts(ordinary[:cut_o])
-    least = max(1, min(LEAST_DOCS, cut_t // 20))
-    own = [_dictionary({w: n for w, n in a.items() if n >= least and w not in b}, CLASS_BYTES, 1000) for a, b in ((t, o), (o, t))]
-    both = _dictionary({w: n for w, n in o.items() if w in t}, SHARED_BYTES, 20)
-    size = min(map(len, own))  # equal sizes: the same distances to the shared part
-    model = ToxicityModel(own[0][len(own[0]) - size:] + both, own[1][len(own[1]) - size:] + both, [], [], [])
-    # calibrated on texts that the dictionaries have not seen, if there are enough
-    held_t, held_o = toxic[cut_t:] or toxic, ordinary[cut_o:] or ordinary
     width = len(_inputs(np.zeros(1)))
-    if not held_t or not held_o:
+    if min(len(toxic), len(ordinary)) < FOLDS:
         prior = min(max(share, 1e-6), 1 - 1e-6)
-        model.weights, model.means, model.scales = [0.0] * width + [math.log(prior / (1 - prior))], [0.0] * width, [1.0] * width
-        return model
-    compressors = model.compressors()
-    x = np.array([_inputs(saved_bytes(text, compressors)) for text in held_t + held_o])
-    y = np.array([1.0] * len(held_t) + [0.0] * len(held_o))
-    weight = np.where(y == 1, share * len(y) / len(held_t), (1 - share) * len(y) / len(held_o))
+        return ToxicityModel(b"", b"", [0.0] * width + [math.log(prior / (1 - prior))], [0.0] * width, [1.0] * width)
+    x, y = [], []
+    for k in range(FOLDS):
+        seen = [[t for i, t in enumerate(texts) if i % FOLDS != k] for texts in (toxic, ordinary)]
+        compressors = _dictionaries(*seen).compressors()
+        for label, texts in ((1.0, toxic[k::FOLDS]), (0.0, ordinary[k::FOLDS])):
+            x += [_inputs(saved_bytes(text, compressors)) for text in texts]
+            y += [label] * len(texts)
+    model, x, y = _dictionaries(toxic, ordinary), np.array(x), np.array(y)
+    weight = np.where(y == 1, share * len(y) / len(toxic), (1 - share) * len(y) / len(ordinary))
     means, scales = x.mean(axis=0), x.std(axis=0) + 1e-9
     model.weights, model.means, model.scales = _logistic((x - means) / scales, y, weight).tolist(), means.tolist(), scales.tolist()
     return model
