@@ -35,6 +35,8 @@ BAND_POWER = 2
 BLOCK = 128
 #: Ids that may be broadcast to pick the documents whose sets are compared (a long each).
 BROADCAST_IDS = 2_000_000
+#: Edges whose components one task works out before tasks are joined.
+TASK_EDGES = 500_000
 
 
 class PartEnum:
@@ -185,9 +187,35 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of one task as stars: every id with the smallest id it is connected to in the task."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    ids = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([root(x) for x in ids], pa.int64())], ["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """id and component (its smallest id) of every id in ``edges`` (a, b): least label and shortcuts."""
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    """id and component (its smallest id) of every id in ``edges`` (a, b).
+
+    Tasks of at most TASK_EDGES edges first reduce theirs to stars; what several tasks hold is
+    then joined by least labels and shortcuts.
+    """
+    edges = edges.select("a", "b")
+    tasks = -(-edges.count() // TASK_EDGES)
+    stars = cut_lineage(edges.coalesce(max(1, tasks)).mapInArrow(_forest, "a long, b long"))
+    if tasks <= 1:
+        return stars.toDF("id", "component")
+    both = cut_lineage(stars.union(stars.select("b", "a")).where("a <> b").distinct())
     labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component")))
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("near"))
@@ -224,10 +252,11 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def _cross_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> DataFrame:
     """Pairs (a < b) of different components under one signature that may link; ``members`` has sig, key, component, n, sketch.
 
-    The members of a signature are dealt over blocks; every two of its blocks meet in one task row.
+    All of them if ``thorough``, else one for every two components that meet.  The members of a
+    signature are dealt over blocks; every two of its blocks meet in one task row.
     """
     sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
@@ -239,11 +268,17 @@ def _cross_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: set[tuple] = set()
+            tried: set[tuple] = set()
             for left_rows, right_rows in zip(batch.column("left"), batch.column("right")):
                 right_rows = right_rows.as_py()
                 for x in left_rows.as_py():
                     for y in right_rows:
-                        if x["component"] != y["component"] and _may_link(x["sketch"], x["n"], y["sketch"], y["n"], num, den):
+                        two = (min(x["component"], y["component"]), max(x["component"], y["component"]))
+                        if two[0] == two[1] or two in tried:
+                            continue
+                        if _may_link(x["sketch"], x["n"], y["sketch"], y["n"], num, den):
+                            if not thorough:
+                                tried.add(two)
                             found.add((min(x["key"], y["key"]), max(x["key"], y["key"])))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
@@ -285,8 +320,12 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
 
     signed = cut_lineage(_sets(rows, width, sign, "sig long, key long"))
     # most signatures belong to one set and end here
-    shared = signed.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").drop("z")
+    shared = signed.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("sig")
     members = cut_lineage(signed.join(shared, "sig").distinct())
+    # the set that meets most others is the likeliest centre of its group: it stands for the signature
+    sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    degree = members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("degree"))
+    centre = members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("a"))
 
     # the sets that share any signature, from the document with the smallest id of each
     wanted = cut_lineage(members.select("key").distinct().join(classes, "key").select(F.col("id").alias("_id")).distinct())
@@ -307,14 +346,27 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
     sketches = held.select("key", "n", "sketch").dropDuplicates(["key"])
     sets = held.select("key", "elements")
 
-    star = cut_lineage(members.where("key != a").select("a", F.col("key").alias("b")).distinct())
-    first = cut_lineage(linked_pairs(_plausible(star, sketches, num, den), sets, num, den).distinct())
-
-    # signatures that still have sets of different components
-    label = components(first).select(F.col("id").alias("key"), "component")
-    placed = members.join(label, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("component"))
-    open_sigs = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high and n > 2").select("sig")
-    rest = placed.join(open_sigs, "sig").join(sketches, "key")
-    more = _cross_pairs(rest, num, den).join(star, ["a", "b"], "left_anti")
-    second = linked_pairs(more, sets, num, den)
-    return cut_lineage(first.union(second))
+    star = members.join(centre, "sig").where("key != a").select("a", F.col("key").alias("b")).distinct()
+    star = cut_lineage(_plausible(star, sketches, num, den))
+    links = cut_lineage(linked_pairs(star, sets, num, den).distinct())
+    compared = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    # signatures that still have sets of different components: one pair for every two components
+    # first; when no such pair is a link, all pairs that are left
+    thorough = False
+    while True:
+        label = components(links).select(F.col("id").alias("key"), "component")
+        placed = members.join(label, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("component"))
+        still = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        rest = cut_lineage(placed.join(still.where("low < high and n > 2").select("sig"), "sig"))
+        # components only grow: what is settled stays so
+        members = rest.select("sig", "key")
+        pairs = cut_lineage(_cross_pairs(rest.join(sketches, "key"), num, den, thorough).join(compared, ["a", "b"], "left_anti"))
+        found = cut_lineage(linked_pairs(pairs, sets, num, den))
+        none = found.isEmpty()
+        if thorough or none and pairs.isEmpty():
+            return links.union(found)
+        compared = compared.union(pairs)
+        thorough = none
+        if not none:
+            links = cut_lineage(links.union(found))
