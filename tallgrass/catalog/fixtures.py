@@ -55,13 +55,15 @@ monthly AS (
 LAGS_SQL = (
     MONTHLY_SQL
     + """,
+past AS (
+  SELECT "StationId", "Month_Rec", "Year_Rec" + lag AS "Year_Rec", lag, "PRCP" AS p FROM monthly, (VALUES (1), (2), (5)) AS l(lag)),
+known AS (
+  SELECT "StationId", "Month_Rec", "Year_Rec", count(*) AS lags, max(p) FILTER (WHERE lag = 1) AS "ONE_YEAR_PRCP",
+         max(p) FILTER (WHERE lag = 2) AS "TWO_YEAR_PRCP", max(p) FILTER (WHERE lag = 5) AS "FIVE_YEAR_PRCP"
+  FROM past GROUP BY "StationId", "Month_Rec", "Year_Rec"),
 lagged AS (
-  SELECT m.*, a."PRCP" AS "ONE_YEAR_PRCP", b."PRCP" AS "TWO_YEAR_PRCP", c."PRCP" AS "FIVE_YEAR_PRCP"
-  FROM monthly m
-  JOIN monthly a ON a."StationId" = m."StationId" AND a."Month_Rec" = m."Month_Rec" AND m."Year_Rec" = a."Year_Rec" + 1
-  JOIN monthly b ON b."StationId" = m."StationId" AND b."Month_Rec" = m."Month_Rec" AND m."Year_Rec" = b."Year_Rec" + 2
-  JOIN monthly c ON c."StationId" = m."StationId" AND c."Month_Rec" = m."Month_Rec" AND m."Year_Rec" = c."Year_Rec" + 5
-  WHERE a."PRCP" IS NOT NULL AND c."PRCP" IS NOT NULL),
+  SELECT monthly.*, "ONE_YEAR_PRCP", "TWO_YEAR_PRCP", "FIVE_YEAR_PRCP" FROM monthly JOIN known USING ("StationId", "Month_Rec", "Year_Rec")
+  WHERE lags = 3 AND "ONE_YEAR_PRCP" IS NOT NULL AND "FIVE_YEAR_PRCP" IS NOT NULL),
 stations AS (SELECT CAST(s_suppkey AS VARCHAR) AS "StationId", s_acctbal AS "Elevation", s_name FROM supplier)
 """
 )

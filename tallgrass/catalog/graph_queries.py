@@ -10,7 +10,7 @@ from tallgrass.operators import graph as gr
 from tallgrass.plans.lineage import cut_lineage
 
 CONTAGION = 1.5
-ROUNDS = 4
+ROUNDS = 6
 SEEDS = 50
 
 

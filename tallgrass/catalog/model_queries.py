@@ -82,14 +82,14 @@ TWO_CLASSES = "label < 5"
 def ml_cv_error(t: Tables) -> DataFrame:
     rows = _labelled(t)
     total = rows.count()
-    train, validation = ml.cross_validation(rows, ["id"], [ml.logistic(1.0, total - total // 5, 40)], 5)[0]
+    train, validation = ml.cross_validation(rows, ["id"], [ml.logistic(1.0, total - total // 5)], 5)[0]
     return ml.named_values(t.spark, {"train error": train, "validation error": validation})
 
 
 @query("ml_logreg_grid")
 def ml_logreg_grid(t: Tables) -> DataFrame:
     train, test = _labelled_split(t)
-    return ml.logistic_grid(train, test, ["id"], [1e-4, 1e-2, 1, 1e2, 1e4], iterations=40, threads=8)
+    return ml.logistic_grid(train, test, ["id"], [1e-4, 1e-2, 1, 1e2, 1e4], threads=8)
 
 
 @query("ml_linear_svm")
@@ -99,12 +99,12 @@ def ml_linear_svm(t: Tables) -> DataFrame:
 
 @query("ml_poly_svm")
 def ml_poly_svm(t: Tables) -> DataFrame:
-    return ml.polynomial_svm(*_labelled_split(t, TWO_CLASSES, size=2), degrees=range(2, 9), iterations=50, threads=8)
+    return ml.polynomial_svm(*_labelled_split(t, TWO_CLASSES, size=2), degrees=range(2, 9), threads=8)
 
 
 @query("ml_hinge_svm")
 def ml_hinge_svm(t: Tables) -> DataFrame:
-    return ml.hinge_svm(*_labelled_split(t, TWO_CLASSES, size=2), penalties=[0, 0.05, 0.1, 0.2, 0.5], iterations=50, threads=8)
+    return ml.hinge_svm(*_labelled_split(t, TWO_CLASSES, size=2), penalties=[0, 0.05, 0.1, 0.2, 0.5], threads=8)
 
 
 EPOCHS = 3

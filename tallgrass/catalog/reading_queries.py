@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallgrass.catalog import fixtures as fx
@@ -135,16 +137,22 @@ def join_year_lag(t: Tables) -> DataFrame:
 
 @query("view_register", f"WITH {fx.LAGS_SQL} SELECT * FROM lagged")
 def view_register(t: Tables) -> DataFrame:
-    # the same question asked in SQL over a named view, as a chain of equi-joins
-    monthly(t).createOrReplaceTempView("monthly_final")
-    return t.spark.sql("""
-        SELECT m.*, a.PRCP AS ONE_YEAR_PRCP, b.PRCP AS TWO_YEAR_PRCP, c.PRCP AS FIVE_YEAR_PRCP
-        FROM monthly_final m
-        JOIN monthly_final a ON a.StationId = m.StationId AND a.Month_Rec = m.Month_Rec AND a.Year_Rec + 1 = m.Year_Rec
-        JOIN monthly_final b ON b.StationId = m.StationId AND b.Month_Rec = m.Month_Rec AND b.Year_Rec + 2 = m.Year_Rec
-        JOIN monthly_final c ON c.StationId = m.StationId AND c.Month_Rec = m.Month_Rec AND c.Year_Rec + 5 = m.Year_Rec
-        WHERE a.PRCP IS NOT NULL AND c.PRCP IS NOT NULL
-    """)
+    # the same question asked in SQL over a named view: one scan, one frame per lag
+    view = f"monthly_{uuid.uuid4().hex}"
+    monthly(t).createOrReplaceTempView(view)
+    try:
+        return t.spark.sql(f"""
+            SELECT * EXCEPT (lag_1, lag_2, lag_5), lag_1.p AS ONE_YEAR_PRCP, lag_2.p AS TWO_YEAR_PRCP, lag_5.p AS FIVE_YEAR_PRCP
+            FROM (
+              SELECT *, max(struct(1 AS known, PRCP AS p)) OVER (PARTITION BY StationId, Month_Rec ORDER BY Year_Rec RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS lag_1,
+                     max(struct(1 AS known, PRCP AS p)) OVER (PARTITION BY StationId, Month_Rec ORDER BY Year_Rec RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING) AS lag_2,
+                     max(struct(1 AS known, PRCP AS p)) OVER (PARTITION BY StationId, Month_Rec ORDER BY Year_Rec RANGE BETWEEN 5 PRECEDING AND 5 PRECEDING) AS lag_5
+              FROM {view}
+            )
+            WHERE lag_1.p IS NOT NULL AND lag_2 IS NOT NULL AND lag_5.p IS NOT NULL
+        """)
+    finally:
+        t.spark.catalog.dropTempView(view)
 
 
 def learning(t: Tables) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 from tallgrass.functions.vectors import group_means, nearest_centre
 from tallgrass.plans.ordering import rank_in_group
 
-MAX_CENTRES = 10_000
-
 
 def without_every_qth(df: DataFrame, q: int, group: str = "cluster", dist: str = "dist", key: str = "id") -> DataFrame:
     """Rank rows by distance inside each group and leave out ranks q, 2q, 3q ..."""
@@ -27,8 +25,8 @@ def trimmed_kmeans(points: DataFrame, centres: np.ndarray, max_iter: int, q: int
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    if not 1 <= len(centres) <= MAX_CENTRES:
-        raise ValueError(f"between 1 and {MAX_CENTRES} start centres are needed")
+    if not len(centres):
+        raise ValueError("at least one start centre is needed")
     centres = np.asarray(centres, dtype=np.float64)
     for _ in range(max_iter):
         kept = without_every_qth(nearest_centre(points, centres), q)

@@ -22,6 +22,9 @@ from tallgrass.operators.selection import with_folds
 # fixed values: the features of the yearly rain model, in order
 RAIN_FEATURES = ("TMAX", "TMIN", "SNWD", "ONE_YEAR_PRCP", "TWO_YEAR_PRCP", "FIVE_YEAR_PRCP")
 
+# iterative fits end by the solver's tolerance; this many iterations only stop one that does not
+UNTIL_TOLERANCE = 10_000
+
 
 def assemble(df: DataFrame, inputs: Sequence[str] = RAIN_FEATURES, label: str = "PRCP", keep: Sequence[str] = ()) -> DataFrame:
     """Pack the input columns to one vector; the target becomes ``label``."""
@@ -105,7 +108,7 @@ def cross_validation(df: DataFrame, order: list[str], estimators: Sequence, fold
     return [tuple(pair) for pair in found.mean(axis=1)]
 
 
-def logistic(strength: float, rows: int, iterations: int = 100) -> LogisticRegression:
+def logistic(strength: float, rows: int, iterations: int = UNTIL_TOLERANCE) -> LogisticRegression:
     """Logistic regression for a penalty ``strength`` on the summed loss; Spark averages the loss."""
     return LogisticRegression(
         family="multinomial", regParam=strength / rows, elasticNetParam=0.0, standardization=False, maxIter=iterations
@@ -114,7 +117,7 @@ def logistic(strength: float, rows: int, iterations: int = 100) -> LogisticRegre
 
 def logistic_grid(
     train: DataFrame, test: DataFrame, order: list[str], strengths: Sequence[float], folds: int = 5,
-    iterations: int = 100, threads: int = 4,
+    iterations: int = UNTIL_TOLERANCE, threads: int = 4,
 ) -> DataFrame:
     """Cross-validation and test error for each penalty strength."""
     rows = train.count()
@@ -148,14 +151,14 @@ def _svm_table(train: DataFrame, validation: DataFrame, settings: list[tuple[flo
     )
 
 
-def linear_svm(train: DataFrame, validation: DataFrame, costs: Sequence[float], iterations: int = 100, threads: int = 4) -> DataFrame:
+def linear_svm(train: DataFrame, validation: DataFrame, costs: Sequence[float], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
     """Errors and margin 1/|w| for each cost of a summed hinge loss."""
     rows = train.count()
     settings = [(c, LinearSVC(regParam=1 / (c * rows), standardization=False, maxIter=iterations)) for c in costs]
     return _svm_table(train, validation, settings, "cost", threads)
 
 
-def polynomial_svm(train: DataFrame, validation: DataFrame, degrees: Sequence[int], iterations: int = 100, threads: int = 4) -> DataFrame:
+def polynomial_svm(train: DataFrame, validation: DataFrame, degrees: Sequence[int], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
     """Linear SVM on all monomials up to each degree, scaled; cost 1."""
     rows = train.count()
     settings = [
@@ -169,7 +172,7 @@ def polynomial_svm(train: DataFrame, validation: DataFrame, degrees: Sequence[in
     return _svm_table(train, validation, settings, "degree", threads)
 
 
-def hinge_svm(train: DataFrame, validation: DataFrame, penalties: Sequence[float], iterations: int = 100, threads: int = 4) -> DataFrame:
+def hinge_svm(train: DataFrame, validation: DataFrame, penalties: Sequence[float], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
     """Mean hinge loss + penalty |w|^2; Spark's own penalty term is regParam / 2 |w|^2."""
     settings = [(p, LinearSVC(regParam=2 * p, standardization=False, maxIter=iterations)) for p in penalties]
     return _svm_table(train, validation, settings, "penalty", threads)

@@ -68,9 +68,15 @@ def flatten(df: DataFrame, separator: str = ".") -> DataFrame:
     """One column per leaf, named by its path, list positions included.
 
     Every record gets all columns, in name order: the union of the keys of all records.
-    Empty containers leave no column.
+    Empty containers leave no column.  Two leaves that would get one name are an error: neither
+    may hide the other.
     """
-    named = {separator.join(str(step) for step in p): p for p in leaf_paths(df)}
+    named: dict[str, tuple] = {}
+    for path in leaf_paths(df):
+        name = separator.join(str(step) for step in path)
+        if name in named:
+            raise ValueError(f"{named[name]} and {path} would both be named {name!r}; choose another separator")
+        named[name] = path
     return df.select(*[_at(named[name]).alias(name) for name in sorted(named)])
 
 

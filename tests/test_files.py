@@ -85,3 +85,12 @@ def test_connection_options_come_from_the_caller():
     assert streams.kafka_options("h:1", ["a", "b"], 1000)["subscribe"] == "a,b"
     with pytest.raises(ValueError):
         streams.kafka_options("h:1", ["a"], 0)
+
+
+def test_flatten_refuses_two_leaves_of_one_name(spark):
+    from tallgrass.operators.nested import flatten
+
+    table = spark.sql("SELECT 'outer' AS a_b, named_struct('b', 'inner') AS a")
+    with pytest.raises(ValueError, match="a_b"):
+        flatten(table, "_")
+    assert sorted(flatten(table, ".").columns) == ["a.b", "a_b"]

@@ -26,7 +26,8 @@ def brute(queries, train, labels, k, p):
     return out
 
 
-@pytest.mark.parametrize("p,rows_per_block", [(0.5, 7), (1.0, 4096), (2.0, 20), (3.0, 4096)])
+@pytest.mark.parametrize("p", [0.5, 1.0, 2.0, 3.0])
+@pytest.mark.parametrize("rows_per_block", [7, 4096])
 def test_nearest_equals_brute_force(spark, p, rows_per_block):
     rng = np.random.default_rng(int(p * 10))
     # whole numbers make ties frequent; a third of the rows are copies of one vector
@@ -76,7 +77,7 @@ def test_vote_ties_go_to_the_closest_winner_then_the_smallest_label(spark):
     )
     assert rows(nb.vote(found)) == [(0, 2), (1, 3)]
     sweep = {(r["k"], r["query_id"]): r["prediction"] for r in nb.vote_for_each_k(found.where("query_id = 0"), 5).collect()}
-    assert [sweep[k, 0] for k in range(1, 6)] == [9, 2, 1, 1, 2] or sweep[1, 0] == 9
+    assert [sweep[k, 0] for k in range(1, 6)] == [9, 9, 9, 1, 2]
 
 
 def test_bad_arguments(spark):
@@ -121,7 +122,7 @@ def test_a_cluster_without_points_keeps_its_centre(spark):
     assert cl.trimmed_kmeans(points, np.array([[0.5], [99.0]]), 3, 5).tolist() == [[0.5], [99.0]]
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.integers(1, 30), st.integers(1, 4))
 def test_moments_equal_numpy(spark, n, d):
     x = np.random.default_rng(n * 7 + d).normal(size=(n, d))
