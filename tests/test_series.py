@@ -50,6 +50,22 @@ def test_sweeps_go_from_first_to_last(spark):
     assert np.allclose(got, x)
 
 
+def test_series_of_several_lengths_with_gaps(spark):
+    rng = np.random.default_rng(2)
+    data = [(f"s{i}", k, float(v)) for i, n in enumerate((2, 3, 3, 7, 30, 30)) for k, v in enumerate(rng.normal(size=n).round(2))]
+    got = {(r["series"], r["pos"]): r["smooth"] for r in se.denoise(spark.createDataFrame(data, "series string, pos int, value double"), 0.8, 12).collect()}
+    for name in {d[0] for d in data}:
+        s = [v for a, _, v in data if a == name]
+        x, last = list(s), len(s) - 1
+        for _ in range(13):
+            for k in range(last + 1):
+                x[k] = float(se.closest_value(0.8 if 0 < k < last else 1.6, s[k], x[k - 1 if k else 1], x[k + 1 if k < last else last - 1]))
+        assert [got[name, k] for k in range(last + 1)] == x
+    gaps = spark.createDataFrame([("a", 0, 1.0), ("a", 1, None), ("a", 2, 5.0), (None, 0, 2.0)], "series string, pos int, value double")
+    assert {(r["series"], r["pos"]): r["smooth"] for r in se.denoise(gaps, 0.5, 3).collect()} == {("a", 0): 1.0, ("a", 1): None, ("a", 2): 5.0, (None, 0): 2.0}
+    assert se.denoise(gaps.limit(0), 0.5, 3).count() == 0
+
+
 PRICES = [("A", "2016-01", 1.0), ("A", "2016-02", 2.0), ("B", "2016-01", 3.0), ("A", "2015-12", 9.0)]
 
 
