@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tallgrass.functions.vectors import block, distances, with_columns
 from tallgrass.plans.lineage import cut_lineage
 
+#: Queries whose distances to all pivots are held at a time.
+ASKED = 256
 _FOUND = "part int, query_id long, train_id long, label int, dist double"
 
 
@@ -151,36 +153,34 @@ def nearest_by_part(
     }
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            gaps = _metric(block(batch.column(2)), pivots, p)
-            parts, home = batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            limit = batch.column(4).to_numpy()
-            limit = limit if p >= 1 else limit**p
-            # a little slack: rounding must not rule out a row that lies exactly on the bound
-            limit = limit * (1 + 1e-9) + 1e-12
-            rows_, cells_ = [], []
-            for part in np.unique(parts):
-                if part not in table:
-                    continue
-                cells, inner, outer = table[part]
-                mine = np.nonzero(parts == part)[0]
-                near = gaps[mine][:, cells]
-                lowest = np.maximum(near - outer, inner - near)
-                hit, cell = np.nonzero((lowest <= limit[mine][:, None]) & (cells[None, :] != home[mine][:, None]))
-                rows_.append(mine[hit])
-                cells_.append(cells[cell])
-            row = np.concatenate(rows_) if rows_ else np.zeros(0, dtype=np.int64)
-            taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [taken.column(0), pa.array(np.concatenate(cells_) if cells_ else [], type=pa.int32()), taken.column(1), taken.column(2)],
-                names=["part", "cell", "query_id", "features"],
-            )
-
-    kind = queries.schema["features"].dataType.simpleString()
-    visits = open_queries.mapInArrow(candidates, f"part int, cell int, query_id long, features {kind}")
-    away = _search(visits, train, _cell_counts(visits), known, k, p, rows_per_block)
+        for whole in batches:
+            # a slice of queries visits at most ASKED times the number of pivots
+            for at in range(0, whole.num_rows, ASKED):
+                batch = whole.slice(at, ASKED)
+                gaps = _metric(block(batch.column(2)), pivots, p)
+                parts, home = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+                limit = batch.column(4).to_numpy()
+                limit = limit if p >= 1 else limit**p
+                # a little slack: rounding must not rule out a row that lies exactly on the bound
+                limit = limit * (1 + 1e-9) + 1e-12
+                for part in np.unique(parts):
+                    if part not in table:
+                        continue
+                    cells, inner, outer = table[part]
+                    mine = np.nonzero(parts == part)[0]
+                    near = gaps[mine][:, cells]
+                    lowest = np.maximum(near - outer, inner - near)
+                    hit, cell = np.nonzero((lowest <= limit[mine][:, None]) & (cells[None, :] != home[mine][:, None]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(hit), part, np.int32)), pa.array(cells[cell], type=pa.int32()), batch.column(1).take(pa.array(mine[hit]))],
+                        names=["part", "cell", "query_id"],
+                    )
+
+    # ids only, written once: they are counted first and searched then
+    visits = cut_lineage(open_queries.mapInArrow(candidates, "part int, cell int, query_id long"))
+    counts = _cell_counts(visits)
+    visits = visits.join(queries.select("part", "query_id", "features"), ["part", "query_id"])
+    away = _search(visits, train, counts, known, k, p, rows_per_block)
     return _best(own.unionByName(away), k)
 
 
