@@ -170,7 +170,10 @@ SELECT "StationId", "Date", "Variable", "Value", "M_Flag", "Q_Flag", "S_Flag", "
 
 @query("src_stream_json", _DECODED)
 def src_stream_json(t: Tables) -> DataFrame:
-    return stm_raw_append(t)
+    # the source alone: payloads are kept as they came, and decoded from the table they went to
+    target = new_folder(t.spark, "payload_rows")
+    etl.run_available(_payload_stream(t), etl.batch_writer(target), new_folder(t.spark, "progress"))
+    return rd.decode_json(etl.read_batches(t.spark, target).select("value"), rd.READING_SCHEMA)
 
 
 @query("stm_raw_append", _DECODED)
@@ -189,14 +192,13 @@ def stm_etl(t: Tables) -> DataFrame:
 
 @query("snk_foreach_batch", f"""
 WITH {fx.CLEAN_SQL}
-SELECT "Variable", count(*) AS n, CAST(sum("Value") AS BIGINT) AS total FROM cleaned GROUP BY 1
+SELECT "StationId", "Variable", "Value", "Year_Rec", "Month_Rec" FROM cleaned
 """)
 def snk_foreach_batch(t: Tables) -> DataFrame:
     target = new_folder(t.spark, "clean")
     stream = rd.decode_json(_payload_stream(t), rd.READING_SCHEMA)
     etl.run_available(stream, etl.batch_writer(target, rd.clean), new_folder(t.spark, "progress"))
-    written = etl.read_batches(t.spark, target)
-    return written.groupBy("Variable").agg(F.count(F.lit(1)).alias("n"), F.sum("Value").alias("total"))
+    return etl.read_batches(t.spark, target).select("StationId", "Variable", "Value", "Year_Rec", "Month_Rec")
 
 
 @query("stm_batch_id", """
