@@ -253,14 +253,15 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
 
 
 def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> DataFrame:
-    """Pairs (a < b) of different components under one signature that may link; ``members`` has sig, key, component, n, sketch.
+    """Pairs (a < b) of different components under one signature that may link; ``members`` has sig, key, central, component, n, sketch.
 
-    All of them if ``thorough``, else one for every two components that meet.  The members of a
+    All of them if ``thorough``, else one for every two components that meet.  Pairs with the
+    central set of the signature were compared before and are left out.  The members of a
     signature are dealt over blocks; every two of its blocks meet in one task row.
     """
     sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    blocks = dealt.groupBy("sig", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "sketch")).alias("rows"))
+    blocks = dealt.groupBy("sig", "block", "blocks").agg(F.collect_list(F.struct("key", "central", "component", "n", "sketch")).alias("rows"))
     left = blocks.select("sig", F.col("block").alias("i"), F.col("rows").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     right = blocks.select(F.col("sig").alias("sig2"), F.col("block").alias("j2"), F.col("rows").alias("right"))
     met = left.join(right, (F.col("sig") == F.col("sig2")) & (F.col("j") == F.col("j2"))).select("left", "right")
@@ -274,7 +275,7 @@ def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> Data
                 for x in left_rows.as_py():
                     for y in right_rows:
                         two = (min(x["component"], y["component"]), max(x["component"], y["component"]))
-                        if two[0] == two[1] or two in tried:
+                        if two[0] == two[1] or x["central"] or y["central"] or two in tried:
                             continue
                         if _may_link(x["sketch"], x["n"], y["sketch"], y["n"], num, den):
                             if not thorough:
@@ -325,7 +326,7 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
     # the set that meets most others is the likeliest centre of its group: it stands for the signature
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     degree = members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("degree"))
-    centre = members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("a"))
+    centre = cut_lineage(members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("a")))
 
     # the sets that share any signature, from the document with the smallest id of each
     wanted = cut_lineage(members.select("key").distinct().join(classes, "key").select(F.col("id").alias("_id")).distinct())
@@ -352,20 +353,21 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
     compared = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     # signatures that still have sets of different components: one pair for every two components
-    # first; when no such pair is a link, all pairs that are left
+    # first; when no such pair is a link, or all of them were compared before, all pairs that are left
     thorough = False
     while True:
         label = components(links).select(F.col("id").alias("key"), "component")
         placed = members.join(label, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("component"))
         still = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        rest = cut_lineage(placed.join(still.where("low < high and n > 2").select("sig"), "sig"))
+        rest = placed.join(still.where("low < high and n > 2").select("sig"), "sig").join(centre, "sig")
+        rest = cut_lineage(rest.select("sig", "key", "component", (F.col("key") == F.col("a")).alias("central")))
         # components only grow: what is settled stays so
         members = rest.select("sig", "key")
         pairs = cut_lineage(_cross_pairs(rest.join(sketches, "key"), num, den, thorough).join(compared, ["a", "b"], "left_anti"))
         found = cut_lineage(linked_pairs(pairs, sets, num, den))
-        none = found.isEmpty()
-        if thorough or none and pairs.isEmpty():
+        if thorough or rest.isEmpty():
             return links.union(found)
+        none = found.isEmpty()
         compared = compared.union(pairs)
         thorough = none
         if not none:

@@ -179,6 +179,35 @@ def test_near_groups_against_brute_force(spark, monkeypatch, edges):
     assert got == brute_components(rows, width, num, 100)
 
 
+def test_near_groups_compare_all_pairs_in_the_end(spark, monkeypatch):
+    # centre c, c-y and x-y are links, c-x is just below the threshold but passes the sketch; c has the
+    # smallest key, and is the centre as it meets the other centres under a signature of their own
+    mark = Shingler(1).sets(["mark"])[0][0]
+
+    class SmallestElement:
+        def __init__(self, num, den):
+            pass
+
+        def signatures(self, sets, count):
+            each = np.split(sets, np.cumsum(count)[:-1])
+            marked = [k for k, x in enumerate(each) if mark in x]
+            return np.array([x.min() for x in each] + [7] * len(marked), np.uint64), np.array([*range(len(count)), *marked])
+
+    monkeypatch.setattr(near_join, "PartEnum", SmallestElement)
+    rng, rows = random.Random(8), []
+    while len(rows) < 30:
+        w = ["mark"] + [f"w{rng.randrange(10 ** 9)}" for _ in range(44)]
+        c, y, x = w[:40], w[2:42], w[5:45]
+        sets, count = Shingler(1).sets([" ".join(t) for t in (c, y, x)])
+        c_set, y_set, x_set = np.split(sets, np.cumsum(count)[:-1])
+        keys = near_join._keys(sets, count, 0)
+        marks = [near_join.sketch(t, near_join.sketch_words(40)).tobytes() for t in (c_set, x_set)]
+        if len({s.min() for s in (c_set, y_set, x_set)}) == 1 and keys[0] == keys.min() and near_join._may_link(marks[0], 40, marks[1], 40, 80, 100):
+            rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate((c, y, x))]
+    got = {r.doc_id: r.component_id for r in near_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80, 100).collect()}
+    assert got == {i: i - i % 3 for i, _ in rows}
+
+
 def test_near_groups_of_awkward_rows(docs):
     rows = near_join.near_groups(docs, 3, 90, 100).collect()
     assert len(rows) == len(awkward())
