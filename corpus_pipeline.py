@@ -11,17 +11,16 @@ from tallgrass.session import load_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose toxicity score is 0.5 or more."""
+    """Without the rows whose toxicity score is 0.5 or more, whatever their ids."""
     model = toxicity.learn(docs, load_table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
-    toxic = toxicity.score_toxicity(docs, model).where("score >= 0.5").select(F.col("doc_id").alias("_id"))
-    return docs.join(cut_lineage(toxic), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    return toxicity.with_score(docs, model, name="_score").where("_score < 0.5").drop("_score")
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that have no language: no text, or no letters in it."""
+    """Without the rows that have no language, whatever their ids: no text, or no letters in it."""
     samples = language.labelled_sample(docs.where(fold(F.col("doc_id"), 4) != 2))
-    none = language.identify(docs, samples).where(F.col("lang_pred") == language.UNDETERMINED).select(F.col("doc_id").alias("_id"))
-    return docs.join(cut_lineage(none), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    named = language.with_language(docs, samples, names=("_lang", "_certainty"))
+    return named.where(F.col("_lang") != language.UNDETERMINED).drop("_lang", "_certainty")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,11 +12,12 @@ missing transitions, so that pieces of many documents advance together, one lett
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tallgrass.llm.bpe import text_slices
 
@@ -178,16 +179,22 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     if there are no samples.  Equal phrase counts go to the language that comes first by name.
     Repeated rows and null ids stay; other columns are not read.
     """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return with_language(rows, samples, drop=["text"])
+
+
+def with_language(
+    docs: DataFrame, samples: dict[str, str], text_col: str = "text", names: Sequence[str] = ("lang_pred", "score"), drop: Sequence[str] = ()
+) -> DataFrame:
+    """Every row with its language and score in the columns ``names`` behind its other columns, without those in ``drop``."""
+    kept = [f for f in docs.schema.fields if f.name not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = CrossParser(samples)
         for batch in batches:
-            for first, texts in text_slices(batch, "text", BATCH_CHARS):
+            for first, texts in text_slices(batch, text_col, BATCH_CHARS):
                 lang, score = parser.predict(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(texts)), pa.array(lang, pa.string()), pa.array(score)],
-                    ["doc_id", "lang_pred", "score"],
-                )
+                columns = [batch.column(f.name).slice(first, len(texts)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), pa.array(score)], [*(f.name for f in kept), *names])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.mapInArrow(run, StructType([*kept, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))

@@ -292,7 +292,7 @@ def near_groups(
     """doc_id, n_shingles and component_id of every row, by links of similarity num / den or more.
 
     A text that is null, empty or without words has no shingles and no links: it is its own
-    component.  Rows that repeat an id are one document that has the links of all its texts.  A
+    component.  Rows that repeat an id are labelled one by one, each by the links of its own text.  A
     row with a null id has no links and a null component.  Other columns are not read; an empty
     table gives no rows.
     """

@@ -16,12 +16,13 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallgrass.llm.bpe import text_slices
 
@@ -190,15 +191,20 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     Null and empty texts are scored like a text that no dictionary shortens.  Repeated rows and
     null ids stay; other columns are not read.
     """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return with_score(rows, model, drop=["text"])
+
+
+def with_score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", name: str = "score", drop: Sequence[str] = ()) -> DataFrame:
+    """Every row with its score in the column ``name`` behind its other columns, without those in ``drop``."""
+    kept = [f for f in docs.schema.fields if f.name not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors()
         for batch in batches:
-            for first, texts in text_slices(batch, "text", BATCH_CHARS):
+            for first, texts in text_slices(batch, text_col, BATCH_CHARS):
                 inputs = np.array([_inputs(saved_bytes(text, compressors)) for text in texts])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(texts)), pa.array(model.score(inputs))], ["doc_id", "score"]
-                )
+                columns = [batch.column(f.name).slice(first, len(texts)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(inputs))], [*(f.name for f in kept), name])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, StructType([*kept, StructField(name, DoubleType())]))

@@ -378,3 +378,29 @@ def test_fold_is_the_crc_of_the_id(spark):
 
     got = {r.id: r.f for r in spark.range(20).withColumn("f", fold(F.col("id"), 5)).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 for i in range(20)}
+
+
+def test_pipeline_stages_reject_rows_not_ids(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(7)
+    parts = ["tha", "ner", "ing", "sto", "wel", "ber", "cha", "mon", "rit", "dal"]
+    def text(bad):
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(150)]
+        for _ in range(bad):
+            words[rng.randrange(150)] = rng.choice(["zqxvillain", "wretchkopf"])
+        return " ".join(words)
+    model = toxicity.train([text(5) for _ in range(90)], [text(0) for _ in range(300)], 0.2)
+    compressors = model.compressors()
+    score = lambda t: float(model.score(np.array([toxicity._inputs(toxicity.saved_bytes(t, compressors))]))[0])
+    bad, good = next(t for t in iter(lambda: text(8), "") if score(t) >= 0.5), next(t for t in iter(lambda: text(0), "") if score(t) < 0.5)
+    monkeypatch.setattr(toxicity, "learn", lambda *_: model)
+    monkeypatch.setattr(pipeline, "load_table", lambda *_: None)
+    rows = [(None, bad, "en"), (None, good, "en"), (1, bad, "en"), (1, good, "en"), (None, "", "en"), (1, None, "en"), (2, good, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = pipeline.drop_toxic(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(r for r in rows if r[1] != bad)
+    kept = pipeline.drop_undetermined(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(r for r in rows if r[1])
