@@ -27,8 +27,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tallgrass.llm.bpe import text_slices
 
 #: Labelled documents, toxic and ordinary, that the dictionaries and then the calibration see, at
-#: most; and characters of each of them.  Scored texts are read whole.
-TRAIN_TOXIC, TRAIN_ORDINARY, TRAIN_CHARS = 2000, 6000, 6000
+#: most.  Their texts, like those scored, are read whole.
+TRAIN_TOXIC, TRAIN_ORDINARY = 2000, 6000
 #: Parts of the sample; each is calibrated with dictionaries trained on the others.
 FOLDS = 3
 #: Bytes of a window, of the dictionary of one class and of the shared dictionary.
@@ -178,7 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     chosen = {y: rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, TRAIN_TOXIC), (0, TRAIN_ORDINARY))}
     # ten thousand pairs of numbers at most
     picked = F.broadcast(chosen[1].union(chosen[0]))
-    texts = docs.where(F.length(text_col) > 0).join(picked, F.col(id_col).cast("long") == F.col("_id")).select("_id", "_y", F.substring(text_col, 1, TRAIN_CHARS).alias("_text"))
+    texts = docs.where(F.length(text_col) > 0).join(picked, F.col(id_col).cast("long") == F.col("_id")).select("_id", "_y", F.col(text_col).alias("_text"))
     sample = sorted(((zlib.crc32(str(r["_id"]).encode()), r["_id"], r["_text"], r["_y"]) for r in texts.collect()))
     by_label = {y: list(dict.fromkeys(text for _, _, text, label in sample if label == y)) for y in (0, 1)}
     positive, total = rows.agg(F.sum(F.col("_y").cast("double")), F.count(F.lit(1))).first()

@@ -404,3 +404,19 @@ def test_pipeline_stages_reject_rows_not_ids(spark, monkeypatch):
     kept = pipeline.drop_undetermined(spark, docs, "")
     assert kept.columns == docs.columns
     assert Counter(tuple(r) for r in kept.collect()) == Counter(r for r in rows if r[1])
+
+
+def test_toxicity_is_learned_from_whole_texts(spark):
+    rng = random.Random(9)
+    parts = ["tha", "ner", "ing", "sto", "wel", "ber", "cha", "mon", "rit", "dal"]
+    def text(bad):
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(1300)]
+        return " ".join(words + ["zqxvillain wretchkopf"] * bad + [rng.choice(parts)])
+    rows = [(i, text(3 * (i % 4 == 0)), int(i % 4 == 0)) for i in range(160)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert min(t.find("zqxvillain") for _, t, y in rows if y) > 6000
+    from pyspark.sql import functions as F
+
+    model = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True))
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score_toxicity(table, model).collect()}
+    assert sum(got[i] == bool(y) for i, _, y in rows) >= 150
