@@ -139,8 +139,10 @@ def _dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
     least = max(2, min(LEAST_DOCS, len(toxic) // 20))
     own = [_dictionary({w: n for w, n in a.items() if n >= least and w not in b}, CLASS_BYTES, 1000) for a, b in ((t, o), (o, t))]
     both = _dictionary({w: n for w, n in o.items() if w in t}, SHARED_BYTES, 20)
-    size = min(map(len, own))  # equal sizes: the same distances to the shared part
-    return ToxicityModel(own[0][len(own[0]) - size:] + both, own[1][len(own[1]) - size:] + both, [], [], [])
+    # equal sizes, so that both are searched alike; the shorter is filled up in front, as a class
+    # without words of its own must not take away those of the other
+    size = max(map(len, own))
+    return ToxicityModel(own[0].rjust(size, b"\0") + both, own[1].rjust(size, b"\0") + both, [], [], [])
 
 
 def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
