@@ -70,9 +70,11 @@ def _dictionary(counts: dict[bytes, int], size: int, repeats: int) -> bytes:
     samples = [w for w, n in sorted(counts.items()) for _ in range(min(n, repeats))]
     random.Random(0).shuffle(samples)
     try:
-        return zstandard.train_dictionary(size, samples[:500_000], k=24, d=6).as_bytes()
+        trained = zstandard.train_dictionary(size, samples[:500_000], k=24, d=6).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(sorted(counts))[:size]
+        trained = b""
+    # a handful of words trains tables without content
+    return trained if any(w in trained for w in counts) else b"".join(sorted(counts))[:size]
 
 
 @dataclass
