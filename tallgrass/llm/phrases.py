@@ -30,11 +30,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallgrass.plans.lineage import cut_lineage
 
 #: Bytes of text in a block; a single piece of text may pass it.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text for each hash partition.
 PARTITION_BYTES = 8 << 20
 #: Bits of a key beyond those that number the occurrences.
-SPARE_BITS = 16
+SPARE_BITS = 6
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, np.uint8)
