@@ -9,7 +9,7 @@ a true count by less than mass / counters < least: every phrase with ``least`` o
 
 Second pass.  Each block gets back those of its own keys that survived, goes over its texts
 again and counts the words themselves, so equal keys of different phrases do no harm.  These
-counts are added up by phrase, and what stays below ``least`` goes.
+counts are added up by phrase, again by hash partition, and what stays below ``least`` goes.
 
 No task holds more than a block or a hash partition, nothing is broadcast, and a phrase that
 makes up a third of all texts is one counter in a block.
@@ -22,12 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
+from tallgrass.plans.ordering import rank_in_group
 
 #: Bytes of text in a block; a single piece of text may pass it.
 BLOCK_BYTES = 4 << 20
@@ -113,9 +115,14 @@ def _cuts(text: bytes, size: int) -> Iterator[bytes]:
     yield text
 
 
+def _bounds(parts: int, bits: int) -> np.ndarray:
+    """The first key of each hash partition but the first."""
+    return np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
+
+
 def _summaries(parts: int, bits: int, longest: int, block_bytes: int):
     """Map (lang, text) to the payloads and the summaries of blocks."""
-    bounds = np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
+    bounds = _bounds(parts, bits)
 
     def flush(block: int, texts: dict[str, list[bytes]]) -> pa.RecordBatch:
         rows: dict[str, list] = {"part": [], "lang": [], "data": [], "counts": []}
@@ -236,45 +243,81 @@ def _survivors(least: int):
     return merge
 
 
-def _count_block(bits: int, longest: int):
-    """The texts of a block and its surviving keys to exact counts of the phrases with such keys."""
+def _count_block(parts: int, bits: int, longest: int):
+    """The texts of a block and its surviving keys to exact counts of the phrases with such keys.
+
+    A row holds the phrases of one language in one hash partition, one a line, and their counts.
+    """
+    bounds = _bounds(parts, bits)
 
     def count(table: pa.Table) -> pa.Table:
-        parts = table.column("part").to_pylist()
+        kinds = table.column("part").to_pylist()
         data = table.column("data")
-        kept = [_unpack(data[i].as_py()) for i, p in enumerate(parts) if p != _PAYLOAD]
+        kept = [_unpack(data[i].as_py()) for i, p in enumerate(kinds) if p != _PAYLOAD]
         allowed = np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
-        langs, sizes, phrases, totals = [], [], [], []
-        for i, part in enumerate(parts):
-            if part != _PAYLOAD:
+        rows: dict[str, list] = {"part": [], "lang": [], "data": [], "counts": []}
+
+        def add(part: int, lang: str, phrases: list[bytes], counts: np.ndarray) -> None:
+            rows["part"].append(part)
+            rows["lang"].append(lang)
+            rows["data"].append(zstandard.ZstdCompressor(level=3).compress(b"\n".join(phrases)))
+            rows["counts"].append(_pack_counts(counts))
+
+        for i, kind in enumerate(kinds):
+            if kind != _PAYLOAD:
                 continue
             lang = table.column("lang")[i].as_py()
             words, at, pieces = words_of(zstandard.ZstdDecompressor().decompress(data[i].as_py()))
             names = words.to_pylist()
-            langs.append(lang)
-            sizes.append(0)
-            phrases.append(_EMPTY)
-            totals.append(len(at))
+            # the empty phrase stands for all words
+            add(xxhash.xxh3_64_intdigest(lang.encode()) % parts, lang, [_EMPTY], np.array([len(at)]))
+            spelled: list[bytes] = []
+            numbers, where = [], []
             for size, places, keys in phrase_keys(words, at, pieces, lang, longest, bits):
-                places = places[_contained(keys, allowed)]
+                stay = _contained(keys, allowed)
+                places, keys = places[stay], keys[stay]
                 # a number per distinct phrase, one word at a time, so that words decide and not keys
                 code = at[places]
                 for step in range(1, size):
                     code = np.unique(code, return_inverse=True)[1] * len(names) + at[places + step]
                 _, first, n = np.unique(code, return_index=True, return_counts=True)
-                spelled = at[places[first][:, None] + np.arange(size)]
-                phrases.extend(b" ".join([names[w] for w in row]) for row in spelled.tolist())
-                totals.extend(n.tolist())
-                langs.extend([lang] * len(n))
-                sizes.extend([size] * len(n))
+                spelled.extend(b" ".join([names[w] for w in row]) for row in at[places[first][:, None] + np.arange(size)].tolist())
+                numbers.append(n)
+                where.append(np.searchsorted(bounds, keys[first], side="right"))
+            if not spelled:
+                continue
+            n, part = np.concatenate(numbers), np.concatenate(where)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(edges)):
+                own = order[edges[p] : edges[p + 1]]
+                add(int(p), lang, [spelled[j] for j in own.tolist()], n[own])
         return pa.table({
-            "lang": pa.array(langs, pa.string()), "words": pa.array(sizes, pa.int32()),
-            "phrase": pa.array(phrases, pa.binary()).cast(pa.string()), "n": pa.array(totals, pa.int64()),
+            "part": pa.array(rows["part"], pa.int32()), "lang": pa.array(rows["lang"], pa.string()),
+            "data": pa.array(rows["data"], pa.binary()), "counts": pa.array(rows["counts"], pa.binary()),
         })
 
     return count
 
 
+def _totals(least: int):
+    """All counts of one hash partition, added up by phrase."""
+
+    def add(table: pa.Table) -> pa.Table:
+        lines = [zstandard.ZstdDecompressor().decompress(d).split(b"\n") for d in table.column("data").to_pylist()]
+        counts = [_unpack_counts(c) for c in table.column("counts").to_pylist()]
+        langs = table.column("lang").combine_chunks().take(pa.array(np.repeat(np.arange(len(lines)), [len(c) for c in counts])))
+        found = pa.table({"lang": langs, "phrase": pa.array([x for line in lines for x in line], pa.binary()), "n": pa.array(np.concatenate(counts))})
+        total = found.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        phrase, n = total.column("phrase").combine_chunks(), total.column("n_sum").combine_chunks()
+        stay = pc.or_(pc.greater_equal(n, least), pc.equal(pc.binary_length(phrase), 0))
+        return pa.table({
+            "lang": total.column("lang").combine_chunks().filter(stay), "phrase": phrase.filter(stay).cast(pa.string()), "n": n.filter(stay).cast(pa.int64()),
+        })
+
+    return add
+
+
 def frequent_phrases(
     docs: DataFrame, least: int = 30, longest: int = 4, block_bytes: int = BLOCK_BYTES, partition_bytes: int = PARTITION_BYTES
 ) -> DataFrame:
@@ -296,9 +339,10 @@ def frequent_phrases(
     summaries = blocks.where(F.col("part") != _PAYLOAD)
     kept = summaries.groupBy("part").applyInArrow(_survivors(least), _SCHEMA)
     both = blocks.where(F.col("part") == _PAYLOAD).unionByName(kept)
-    counted = both.groupBy("block").applyInArrow(_count_block(bits, longest), "lang string, words int, phrase string, n long")
-    total = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return total.where((F.col("words") == 0) | (F.col("n") >= least))
+    counted = both.groupBy("block").applyInArrow(_count_block(parts, bits, longest), "part int, lang string, data binary, counts binary")
+    total = counted.groupBy("part").applyInArrow(_totals(least), "lang string, phrase string, n long")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return total.select("lang", words.alias("words"), "phrase", "n")
 
 
 def _wide(column: Column) -> Column:
@@ -350,6 +394,6 @@ def collocations(counts: DataFrame, scale: int = 2_000_000, cover: int = 80) ->
 def top_collocations(docs: DataFrame, least: int = 30, longest: int = 4, first: int = 2000, **sizes: int) -> DataFrame:
     """The best phrases of each language by score, count, then bytes of the phrase, ranked from 1."""
     counts = cut_lineage(frequent_phrases(docs, least, longest, **sizes))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(counts).withColumn("rank", F.row_number().over(order).cast("long"))
+    # ranks from one order over all languages: none of them is put in order in a single task
+    ranked = rank_in_group(collocations(counts), ["lang"], [F.desc("score"), F.desc("a"), "phrase"])
     return ranked.where(F.col("rank") <= first).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
