@@ -110,7 +110,7 @@ def src_json_nested(t: Tables) -> DataFrame:
 
 @query("prj_flatten_json", _PATHS)
 def prj_flatten_json(t: Tables) -> DataFrame:
-    return nested.to_paths(nested.flatten(_nested_records(t)), "id")
+    return nested.to_paths(_nested_records(t), "id")
 
 
 _UNION_SQL = """
@@ -138,13 +138,12 @@ def snk_tsv(t: Tables) -> DataFrame:
 
 @query("snk_partition_decade", f"""
 WITH {fx.MONTHLY_SQL} SELECT *, CAST(floor("Year_Rec" / 10.0) * 10 AS INTEGER) AS decade FROM monthly
-WHERE floor("Year_Rec" / 10.0) * 10 = 1990
 """)
 def snk_partition_decade(t: Tables) -> DataFrame:
     folder = new_folder(t.spark, "decades")
     files.write_by_decade(rd.merge_partials(rd.stage_one(fx.readings(t))), folder)
-    # one decade is read back: the filter prunes folders
-    return t.spark.read.parquet(folder).where("decade = 1990")
+    # every decade is read back, each with the one its folder names
+    return t.spark.read.parquet(folder)
 
 
 STREAM_BATCHES = 5
@@ -215,13 +214,22 @@ def stm_batch_id(t: Tables) -> DataFrame:
     )
 
 
-@query("stm_limit", "SELECT count(*) * 3 // 5 - 7 AS n_rows FROM lineitem")
+@query("stm_limit", """
+SELECT count(*) * 3 // 5 - 7 AS n_rows, 0 AS n_foreign_or_repeated, TRUE AS reached, TRUE AS stopped_early FROM lineitem
+""")
 def stm_limit(t: Tables) -> DataFrame:
     total = t.lineitem.count() * 3 // 5 - 7
     target = new_folder(t.spark, "limited")
     stream = rd.decode_json(_payload_stream(t), rd.READING_SCHEMA)
-    etl.run_available(stream, etl.limited_writer(target, total), new_folder(t.spark, "progress"))
-    return etl.read_batches(t.spark, target).agg(F.count(F.lit(1)).alias("n_rows"))
+    reached = etl.run_limited(stream, target, total, new_folder(t.spark, "progress"))
+    kept = etl.read_batches(t.spark, target)
+    columns = list(rd.READING_FIELDS)
+    # rows beyond those of the source, counted with repetition
+    strange = kept.select(*columns).exceptAll(fx.readings(t).select(*columns))
+    counts = kept.agg(F.count(F.lit(1)).alias("n_rows"), F.max("batch_id").alias("_last"))
+    return counts.crossJoin(strange.agg(F.count(F.lit(1)).alias("n_foreign_or_repeated"))).select(
+        "n_rows", "n_foreign_or_repeated", F.lit(reached).alias("reached"), (F.col("_last") < STREAM_BATCHES - 1).alias("stopped_early")
+    )
 
 
 @query("stm_trigger_bounded", """

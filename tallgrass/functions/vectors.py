@@ -38,6 +38,38 @@ def distances(left: np.ndarray, right: np.ndarray, p: float = 2.0) -> np.ndarray
     return np.sqrt(total) if p == 2 else total ** (1.0 / p)
 
 
+def nearest_pairs(left: np.ndarray, right: np.ndarray, k: int, p: float = 2.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of ``left`` its k closest rows of ``right`` and all that are as close as the k-th.
+
+    Gives (left row, right row, distance), the distances as ``distances`` has them.  For p = 2 one matrix
+    product, |a|^2 + |b|^2 - 2ab, finds the rows that can be among the closest within its rounding
+    error, and only their distances are computed from differences.
+    """
+    take = min(k, len(right))
+    if p != 2:
+        gaps = distances(left, right, p)
+        worst = np.partition(gaps, take - 1, axis=1)[:, take - 1]
+        row, col = np.nonzero(gaps <= worst[:, None])
+        return row, col, gaps[row, col]
+    own, other = np.einsum("ij,ij->i", left, left), np.einsum("ij,ij->i", right, right)
+    product = own[:, None] + other[None, :] - 2 * (left @ right.T)
+    # rounding: a few units in the last place of the norms for each dimension
+    slack = 8 * np.finfo(np.float64).eps * (left.shape[1] + 2) * (own + other.max())
+    worst = np.partition(product, take - 1, axis=1)[:, take - 1]
+    row, col = np.nonzero(product <= (worst + 2 * slack)[:, None])
+    total = np.zeros(len(row))
+    for i in range(left.shape[1]):
+        gap = left[row, i] - right[col, i]
+        total += gap * gap
+    exact = np.sqrt(total)
+    # the k-th smallest exact distance of each row ends the list
+    order = np.lexsort((exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    starts = np.searchsorted(row, np.arange(len(left)))
+    stay = exact <= exact[starts + take - 1][row]
+    return row[stay], col[stay], exact[stay]
+
+
 def with_columns(
     df: DataFrame, vector: str, added: T.StructType, compute: Callable[[np.ndarray], list[np.ndarray]]
 ) -> DataFrame:

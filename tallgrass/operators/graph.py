@@ -5,10 +5,19 @@ Edges are (a, b, w) with a < b; arcs are the same edges in both directions (src,
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
 
+#: Edges that one task of the triangle count takes, about.
+TASK_EDGES = 1 << 22
+#: Pairs of arcs that are looked up at a time.
+WEDGES = 1 << 20
+
 
 def default_weight(edges: DataFrame) -> DataFrame:
     """A two-column edge table gets weight 1; a third column is taken as the weight."""
@@ -48,28 +57,102 @@ def top_degree(node_degrees: DataFrame, k: int = 50) -> DataFrame:
     return node_degrees.orderBy(F.desc("degree"), "id").limit(k)
 
 
-def triangles(edges: DataFrame, node_degrees: DataFrame) -> DataFrame:
+def _count_triple(table: pa.Table) -> pa.Table:
+    """Triangles among the edges of one triple of colours whose corners have just these colours."""
+    ends = np.stack([table.column("a").to_numpy(), table.column("b").to_numpy()])
+    names, ends = np.unique(ends, return_inverse=True)
+    ends = ends.reshape(2, -1)
+    colour = np.zeros(len(names), np.int64)
+    both = table.column("both").to_numpy()
+    colour[ends[0]], colour[ends[1]] = both >> 32, both & 0xFFFFFFFF
+    # from low to high degree: no node keeps more than sqrt(2 x edges) outgoing arcs
+    degree = np.bincount(ends.ravel(), minlength=len(names))
+    place = np.empty(len(names), np.int64)
+    place[np.lexsort((np.arange(len(names)), degree))] = np.arange(len(names))
+    low, high = np.minimum(place[ends[0]], place[ends[1]]), np.maximum(place[ends[0]], place[ends[1]])
+    shade = np.empty_like(colour)
+    shade[place] = colour
+    arcs = np.sort(low * len(names) + high)
+    low, high = arcs // len(names), arcs % len(names)
+    first = np.searchsorted(low, np.arange(len(names) + 1))
+    # arcs i < j of one source are a wedge; it is closed if an arc joins their ends
+    behind = first[low + 1] - np.arange(len(low)) - 1
+    several = not table.column("one_colour")[0].as_py()
+    found = 0
+    steps = np.concatenate([[0], np.cumsum(behind)])
+    at = 0
+    while at < len(low):
+        # at least one arc, else as many as give WEDGES wedges
+        end = max(at + 1, int(np.searchsorted(steps, steps[at] + WEDGES, side="right")) - 1)
+        n = behind[at:end]
+        i = np.repeat(np.arange(at, end), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(steps[at:end] - steps[at], n)
+        wanted = high[i] * len(names) + high[j]
+        spot = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
+        closed = arcs[spot] == wanted
+        if several:
+            # a triangle of one colour belongs to the triple that has only this colour
+            x, y, z = shade[low[i]], shade[high[i]], shade[high[j]]
+            closed &= (x != y) | (y != z)
+        found += int(closed.sum())
+        at = end
+    return pa.table({"found": pa.array([found], pa.int64())})
+
+
+def colours_for(n_edges: int, task_edges: int = TASK_EDGES) -> int:
+    """So many colours that a triple of them gets about ``task_edges`` edges, four at least.
+
+    A triple holds three of the colours x (colours + 1) / 2 kinds of edges.
+    """
+    return max(4, math.ceil(math.sqrt(6 * n_edges / task_edges)))
+
+
+def triangles(edges: DataFrame, node_degrees: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     """Number of triangles, as one row.
 
-    Every edge points from its lower to its higher end in (degree, id) order.  A node then
-    has at most sqrt(2 x edges) outgoing neighbours, also a hub, and each triangle is found
-    once: as a common outgoing neighbour of the two ends of an edge.  Neighbour lists are
-    intersected per edge; pairs of neighbours are never generated.
+    Nodes get one of c colours by hash.  An edge goes to the c triples of colours that can hold a
+    triangle with it, and each triple is counted in one task: edges x c rows are shuffled, ids
+    only, however skewed the degrees are.
+
+    A node with more than edges / c neighbours would fill its triples, so such hubs (2 c at
+    most) are taken out first.  Every node keeps a list of its hubs; the triangles with a hub are
+    the common later hubs of the two ends of an edge.  Both counts are exact.
     """
-    low = node_degrees.select(F.col("id").alias("a"), F.col("degree").alias("_da"))
-    high = node_degrees.select(F.col("id").alias("b"), F.col("degree").alias("_db"))
-    a_first = F.struct("_da", "a") < F.struct("_db", "b")
-    oriented = (
-        edges.select("a", "b").join(low, "a").join(high, "b").select(
-            F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("src"),
-            F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("dst"),
-        )
+    n_edges = edges.count()
+    colours = colours_for(n_edges, task_edges)
+    # the degrees add up to 2 x edges: fewer than 2 x colours nodes can lie above this bound
+    hubs = node_degrees.where(F.col("degree") > n_edges / colours).select("id", "degree")
+    hubs = F.broadcast(cut_lineage(hubs))
+    plain = edges.select("a", "b")
+    light = plain.join(hubs, F.col("a") == F.col("id"), "left_anti").join(hubs, F.col("b") == F.col("id"), "left_anti")
+
+    def colour(node: str) -> Column:
+        return F.pmod(F.xxhash64(node), F.lit(colours)).cast("int")
+
+    dealt = light.select("a", "b", colour("a").alias("x"), colour("b").alias("y")).withColumn(
+        "z", F.explode(F.sequence(F.lit(0), F.lit(colours - 1)))
+    )
+    low, high = F.least("x", "y", "z").cast("long"), F.greatest("x", "y", "z").cast("long")
+    middle = F.col("x") + F.col("y") + F.col("z") - low - high
+    counted = dealt.select(
+        ((low * colours + middle) * colours + high).alias("triple"), "a", "b",
+        F.shiftleft(F.col("x").cast("long"), 32).bitwiseOR(F.col("y").cast("long")).alias("both"), (low == high).alias("one_colour"),
+    ).groupBy("triple").applyInArrow(_count_triple, "found long")
+
+    # hubs stand last in the order of (degree, id); a node lists the hubs behind itself
+    rank = F.struct("degree", "id")
+    toward = mirror(plain.withColumn("w", F.lit(1))).select(F.col("src").alias("node"), F.col("dst").alias("id"))
+    own = hubs.select(F.col("id").alias("node"), F.struct("degree", "id").alias("_own"))
+    later = (
+        toward.join(hubs, "id").select("node", rank.alias("hub")).join(F.broadcast(own), "node", "left")
+        .where(F.col("_own").isNull() | (F.col("_own") < F.col("hub")))
+    )
+    lists = cut_lineage(later.groupBy("node").agg(F.collect_list("hub.id").alias("hubs")))
+    common = plain.join(lists.withColumnRenamed("node", "a").withColumnRenamed("hubs", "_left"), "a").join(
+        lists.withColumnRenamed("node", "b").withColumnRenamed("hubs", "_right"), "b"
     )
-    outgoing = cut_lineage(oriented.groupBy("src").agg(F.collect_list("dst").alias("outs")))
-    per_edge = outgoing.select("outs", F.explode("outs").alias("dst"))
-    other = outgoing.select(F.col("src").alias("dst"), F.col("outs").alias("_others"))
-    shared = F.size(F.array_intersect("outs", "_others")).cast("long")
-    return per_edge.join(other, "dst").agg(F.coalesce(F.sum(shared), F.lit(0)).cast("long").alias("triangles"))
+    with_hub = common.select(F.size(F.array_intersect("_left", "_right")).cast("long").alias("found"))
+    return counted.unionByName(with_hub).agg(F.coalesce(F.sum("found"), F.lit(0)).cast("long").alias("triangles"))
 
 
 def clustering(edges: DataFrame) -> DataFrame:

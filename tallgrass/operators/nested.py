@@ -85,11 +85,41 @@ def fill_missing(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(_quoted(c)).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
-def to_paths(flat: DataFrame, record: str) -> DataFrame:
-    """The flat table in long form: one row per record and path that has a value."""
-    values = [F.struct(F.lit(c).alias("path"), F.col(_quoted(c)).cast("string").alias("value")) for c in flat.columns if c != record]
-    return (
-        flat.select(F.col(_quoted(record)).alias("record"), F.explode(F.array(*values)).alias("_leaf"))
-        .select("record", "_leaf.path", "_leaf.value")
-        .where(F.col("value").isNotNull())
-    )
+_LEAVES = "array<struct<path: string, value: string>>"
+
+
+def _leaves(column: Column, kind: T.DataType, separator: str) -> Column:
+    """All leaves below a value as one array of (path, value); built from the schema alone."""
+
+    def below(name: Column, leaves: Column) -> Column:
+        # a leaf itself has no path yet
+        return F.transform(leaves, lambda leaf: F.struct(
+            F.concat(name, F.when(leaf["path"] == "", F.lit("")).otherwise(F.concat(F.lit(separator), leaf["path"]))).alias("path"),
+            leaf["value"].alias("value"),
+        ))
+
+    none = F.array().cast(_LEAVES)
+    if isinstance(kind, T.StructType):
+        parts = [below(F.lit(f.name), _leaves(column.getField(f.name), f.dataType, separator)) for f in kind.fields]
+        return F.concat(*parts) if parts else none
+    if isinstance(kind, T.ArrayType):
+        each = F.transform(column, lambda x, i: below(i.cast("string"), _leaves(x, kind.elementType, separator)))
+        return F.coalesce(F.flatten(each), none)
+    if isinstance(kind, T.MapType):
+        each = F.transform(F.map_entries(column), lambda e: below(e["key"].cast("string"), _leaves(e["value"], kind.valueType, separator)))
+        return F.coalesce(F.flatten(each), none)
+    text = column.cast("string")
+    return F.when(text.isNotNull(), F.array(F.struct(F.lit("").alias("path"), text.alias("value")))).otherwise(none)
+
+
+def to_paths(df: DataFrame, record: str, separator: str = ".") -> DataFrame:
+    """One row per record and leaf that has a value: (record, path, value as text).
+
+    List positions and map keys are parts of the path.  The leaves of a row are gathered by one
+    expression that follows the schema, so the plan does not grow with the lists in the data, and
+    nothing about the data is asked first.  Empty containers and NULL leave no row.
+    """
+    others = [f for f in df.schema.fields if f.name != record]
+    whole = F.struct(*[F.col(_quoted(f.name)).alias(f.name) for f in others])
+    leaves = _leaves(whole, T.StructType(others), separator)
+    return df.select(F.col(_quoted(record)).alias("record"), F.explode(leaves).alias("_leaf")).select("record", "_leaf.path", "_leaf.value")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
 from tallgrass.plans.ordering import row_index, sums_before
+from tallgrass.session import new_folder
 
 KEY = ["site", "product"]
 
@@ -103,43 +104,52 @@ def fulfil(order_needs: DataFrame, stock: DataFrame, block: int = 65536) -> Data
     """Serve all orders one after the other, each filled whole or rejected: (order_id, accepted).
 
     Order ids are whole numbers in the order of service (see ``number_orders``).
-    The serial result without serial work.  Along each (site, product) two running sums over
-    the earlier orders bound what they take: the accepted ones (least) and the accepted plus
-    the open ones (most).  A line fits for certain if even the most leaves enough, and fails
-    for certain if even the least does not.  Orders decided that way feed the next round; the
-    first open order on its keys is always decided, so the rounds end.  Running sums are cut
-    into blocks, so a key shared by a third of the orders is spread over many tasks.
+    The serial result without serial work.  A line of an open order knows what the accepted
+    orders before it have ``taken`` of its (site, product), and what the open ones before it ask
+    for.  It fits for certain if even both together leave enough, and fails for certain if
+    the taken amount alone does not.  Orders decided that way feed the next round; the first open
+    order on its keys is always decided, so the rounds end.
+
+    A round reads and writes the lines of open orders only: an accepted order is folded into the
+    ``taken`` of the open lines behind it and then gone, a rejected one is gone at once.  The
+    verdicts of all rounds lie in one folder, a subfolder each.  Running sums are cut into blocks,
+    so a key shared by a third of the orders is spread over many tasks.
     """
+    spark = order_needs.sparkSession
+    verdicts = new_folder(spark, "verdicts")
+
+    def decide(round_no: int, decided: DataFrame) -> DataFrame:
+        """Write what a round decides and go on from what was written."""
+        path = f"{verdicts}/round={round_no}"
+        decided.select("order_id", "accepted").write.mode("overwrite").parquet(path)
+        return spark.read.schema("order_id long, accepted boolean").parquet(path)
+
+    amount, inventory, taken = F.col("amount"), F.col("inventory"), F.col("taken")
     known = cut_lineage(
-        order_needs.join(stock, KEY, "left").withColumn("inventory", F.coalesce("inventory", F.lit(-1)))
+        order_needs.join(stock, KEY, "left").select(
+            F.col("order_id").cast("long").alias("order_id"), *KEY, "amount", F.coalesce("inventory", F.lit(-1)).alias("inventory"),
+        )
     )
-    short = F.bool_or(F.col("amount") > F.col("inventory"))
-    hopeless = cut_lineage(known.groupBy("order_id").agg(short.alias("_short")).where("_short").select("order_id"))
-    results = hopeless.select("order_id", F.lit(False).alias("accepted"))
-    lines = known.join(hopeless, "order_id", "left_anti").withColumn("open", F.lit(True))
+    # an order that asks for more than there ever was takes nothing and holds nobody up
+    short = known.groupBy("order_id").agg(F.bool_or(amount > inventory).alias("_short")).where("_short")
+    hopeless = decide(0, short.withColumn("accepted", F.lit(False)))
+    lines = known.join(hopeless, "order_id", "left_anti").select("*", F.lit(0).cast("long").alias("taken"), F.lit(True).alias("open"))
+    round_no = 0
     while True:
-        bounded = sums_before(
-            lines, KEY, "order_id",
-            {"most": F.col("amount"), "least": F.when(F.col("open"), F.lit(0)).otherwise(F.col("amount"))},
-            block,
-        )
-        amount, inventory = F.col("amount"), F.col("inventory")
-        verdicts = cut_lineage(
-            bounded.where("open")
-            .groupBy("order_id")
-            .agg(
-                F.bool_and(F.col("most") + amount <= inventory).alias("accepted"),
-                F.bool_or(F.col("least") + amount > inventory).alias("rejected"),
-            )
+        round_no += 1
+        sums = {"_gained": F.when(F.col("open"), F.lit(0)).otherwise(amount), "_ahead": F.when(F.col("open"), amount).otherwise(F.lit(0))}
+        waiting = cut_lineage(
+            sums_before(lines, KEY, "order_id", sums, block)
+            .where("open")
+            .select("order_id", *KEY, "amount", "inventory", (taken + F.col("_gained")).alias("taken"), "_ahead")
         )
-        final = verdicts.where("accepted OR rejected")
-        results = results.unionByName(final.select("order_id", "accepted"))
-        if verdicts.where("NOT accepted AND NOT rejected").isEmpty():
-            return results
-        marked = lines.join(final.select("order_id", "accepted"), "order_id", "left")
-        kept = marked.where(F.col("accepted").isNull() | F.col("accepted")).withColumn(
-            "open", F.col("open") & F.col("accepted").isNull()
+        state = waiting.groupBy("order_id").agg(
+            F.bool_and(taken + F.col("_ahead") + amount <= inventory).alias("accepted"),
+            F.bool_or(taken + amount > inventory).alias("_rejected"),
         )
-        kept = cut_lineage(kept.drop("accepted"))
-        # keys on which nothing is open any more need no further sums
-        lines = kept.join(kept.where("open").select(*KEY).distinct(), KEY, "left_semi")
+        final = decide(round_no, state.where("accepted OR _rejected"))
+        open_lines = waiting.drop("_ahead").join(final, "order_id", "left")
+        if open_lines.where("accepted IS NULL").isEmpty():
+            return spark.read.schema("order_id long, accepted boolean, round int").parquet(verdicts).select("order_id", "accepted")
+        # the orders accepted just now go along once more, to be folded into the lines behind them
+        lines = open_lines.where("accepted IS NULL OR accepted").withColumn("open", F.col("accepted").isNull()).drop("accepted")

@@ -6,10 +6,11 @@ batch that is replayed after a failure replaces itself and nothing is counted tw
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallgrass.operators.readings import READING_SCHEMA, decode_json, stage_one
@@ -66,45 +67,83 @@ def monthly_etl(payloads: DataFrame, target: str, checkpoint: str, min_year: int
     run_available(decode_json(payloads, READING_SCHEMA), handler, checkpoint)
 
 
-def limited_writer(target: str, total: int) -> Handler:
-    """Pass rows on until ``total`` rows have been written over all batches.
+def limited_writer(target: str, total: int, reached: Callable[[], None] = lambda: None) -> Handler:
+    """Pass rows on until ``total`` rows have been written over all batches, then call ``reached``.
 
-    A streaming ``limit`` sends every row through one task.  Here each task keeps a prefix of
-    its own rows: per-task counts, one row per task, give the running total.  Rows already
-    written are counted from the sink, so the bound also holds after a restart.
+    The running total travels with the batches: batch N leaves the rows written up to and with
+    it in ``target/_totals/batch_id=N``, and batch N + 1 starts from there.  A replayed batch reads
+    the total before it and writes both its rows and its total anew, so neither a replay nor a
+    restart changes the result, and the rows in the sink are never listed or counted.  Batches
+    behind the limit leave only their total, and no folder for rows.
+
+    A streaming ``limit`` sends every row through one task.  Here the rows of each task of the
+    batch are counted (one number a task comes back), and only in the batch that crosses the limit
+    do the tasks keep prefixes of their rows.
     """
     if total < 0:
         raise ValueError("total must not be negative")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        left = total - (_rows_before(spark, target, batch_id) if batch_id else 0)
-        out = f"{target}/batch_id={batch_id}"
-        if left <= 0:
-            batch.limit(0).write.mode("overwrite").parquet(out)
+        before = _written(spark, target, batch_id - 1)
+        if before >= total and batch_id > 0:
+            _set_written(spark, target, batch_id, before)
+            reached()
             return
         placed = batch.withColumn("_place", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-            offsets = (
-                placed.groupBy(F.shiftright("_place", 33).alias("_slice"))
-                .agg(F.count(F.lit(1)).alias("_rows"))
-                .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-            )
-            position = F.col("_offset") + F.col("_place") - F.shiftleft(F.col("_slice"), 33)
-            (
-                placed.withColumn("_slice", F.shiftright("_place", 33))
-                .join(F.broadcast(offsets), "_slice")
-                .where(position < left)
-                .drop("_slice", "_place", "_offset")
-                .write.mode("overwrite")
-                .parquet(out)
-            )
+            task = F.shiftright("_place", 33)
+            sizes = placed.groupBy(task.alias("_slice")).agg(F.count(F.lit(1)).alias("_rows")).collect()
+            rows = sum(size["_rows"] for size in sizes)
+            kept = placed
+            if before + rows > total:
+                room, quota = total - before, []
+                for size in sorted(sizes):
+                    take = min(room, size["_rows"])
+                    quota.append((size["_slice"], take))
+                    room -= take
+                # one row per task of this batch
+                share = F.broadcast(spark.createDataFrame(quota, "_slice long, _take long"))
+                kept = placed.withColumn("_slice", task).join(share, "_slice").where(F.col("_place") - F.shiftleft("_slice", 33) < F.col("_take"))
+            kept.drop("_slice", "_take", "_place").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         finally:
             placed.unpersist()
+        written = min(total, before + rows)
+        # behind the rows: a total that can be read belongs to rows that are there
+        _set_written(spark, target, batch_id, written)
+        if written == total:
+            reached()
 
     return handle
 
 
-def _rows_before(spark: SparkSession, target: str, batch_id: int) -> int:
-    return read_batches(spark, target).where(F.col("batch_id") < batch_id).count()
+def _total_path(target: str, batch_id: int) -> str:
+    return f"{target}/_totals/batch_id={batch_id}"
+
+
+def _written(spark: SparkSession, target: str, batch_id: int) -> int:
+    """Rows written up to and with the batch; 0 before the first one."""
+    if batch_id < 0:
+        return 0
+    return spark.read.schema("written long").json(_total_path(target, batch_id)).first()["written"]
+
+
+def _set_written(spark: SparkSession, target: str, batch_id: int, rows: int) -> None:
+    total = spark.range(1).select(F.lit(rows).cast("long").alias("written"))
+    total.coalesce(1).write.mode("overwrite").json(_total_path(target, batch_id))
+
+
+def run_limited(stream: DataFrame, target: str, total: int, checkpoint: str) -> bool:
+    """Write ``total`` rows of the stream and stop it; True if the limit was reached.
+
+    The query stops as soon as a batch reports the limit, whatever the source still holds.
+    """
+    full = threading.Event()
+    query = start(stream, limited_writer(target, total, full.set), checkpoint)
+    try:
+        # wakes up for either end
+        while not full.is_set() and not query.awaitTermination(1):
+            pass
+    finally:
+        query.stop()
+    return full.is_set()

@@ -94,3 +94,36 @@ def test_flatten_refuses_two_leaves_of_one_name(spark):
     with pytest.raises(ValueError, match="a_b"):
         flatten(table, "_")
     assert sorted(flatten(table, ".").columns) == ["a.b", "a_b"]
+
+
+def test_paths_need_no_column_per_list_position(spark, tmp_path):
+    path = tmp_path / "records.json"
+    path.write_text("\n".join(map(json.dumps, RECORDS)))
+    nest = files.read_nested_json(spark, str(path))
+    by_path = rows(nested.to_paths(nest, "id"))
+    assert by_path == rows(nested.to_paths(nested.flatten(nest), "id"))
+    # a list of 1,000 entries changes neither the plan nor the order of the entries
+    path.write_text(json.dumps({"id": 7, "a": {"b": [{"c": i} for i in range(1000)]}, "list": [[None, "x"], []]}))
+    long = nested.to_paths(spark.read.schema(nest.schema).json(str(path)), "id")
+    short = nested.to_paths(nest, "id")
+    found = {r["path"]: r["value"] for r in long.collect()}
+    assert found["a.b.999.c"] == "999" and len([p for p in found if p.startswith("a.b.")]) == 1000
+    size = [len(df._jdf.queryExecution().optimizedPlan().toString().splitlines()) for df in (short, long)]
+    assert size[0] == size[1] < 10
+
+
+def test_paths_of_maps_nulls_and_odd_names(spark):
+    table = spark.sql("""SELECT 1 AS id, map('k', array(named_struct('v', 1), NULL), 'n', NULL) AS m, CAST(NULL AS array<int>) AS a, named_struct('x.y', 2.5D) AS s
+                         UNION ALL SELECT 2, map(), array(), NULL""")
+    assert rows(nested.to_paths(table, "id")) == [(1, "m.k.0.v", "1"), (1, "s.x.y", "2.5")]
+    assert nested.to_paths(spark.createDataFrame([], "id int, a array<int>"), "id").count() == 0
+
+
+def test_a_reader_of_one_decade_skips_the_other_folders(spark, tmp_path):
+    out = str(tmp_path / "d")
+    files.write_by_decade(spark.createDataFrame([(y, y % 7) for y in range(1950, 2020)], "Year_Rec int, v int"), out)
+    back = spark.read.parquet(out)
+    assert rows(back.select("Year_Rec", "v", "decade")) == sorted((y, y % 7, y // 10 * 10) for y in range(1950, 2020))
+    plan = back.where("decade = 1990")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(decade" in plan and "= 1990)" in plan
+    assert {p.split("decade=")[1][:4] for p in (r[0] for r in back.where("decade = 1990").select("_metadata.file_path").collect())} == {"1990"}

@@ -111,3 +111,33 @@ def test_exposure(spark):
     got = dict(rows(gr.frontier_exposure(edges, ids(spark, [1, 2]), ids(spark, [3, 4]), concerns, 1.0)))
     assert got[4] == 1.0
     assert got[3] == pytest.approx(1 - (1 - 0.5 * 0.8) * (1 - 0.25 * 0.8))
+
+
+@pytest.mark.parametrize("task_edges", [3, 40, 1 << 20])
+@pytest.mark.parametrize("hubs", [0, 1, 3])
+def test_triangles_by_colours_equal_brute_force(spark, task_edges, hubs):
+    rng = random.Random(hubs)
+    pairs = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(250)}
+    # hubs know everybody and each other
+    pairs |= {(n, 100 + h) for n in range(60) for h in range(hubs)} | {(100 + g, 100 + h) for g in range(hubs) for h in range(g + 1, hubs)}
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = sum(len(near[a] & near[b]) for a, b in pairs) // 3
+    edges = build(spark, [(a, b, 1.0) for a, b in pairs])
+    assert gr.triangles(edges, gr.degrees(edges), task_edges).first()[0] == want
+
+
+def test_wedges_are_looked_up_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(gr, "WEDGES", 3)
+    edges = build(spark, [(a, b, 1.0) for a in range(9) for b in range(a + 1, 9)])
+    table = edges.select(gr.F.lit(0).alias("triple"), "a", "b", gr.F.lit(0).cast("long").alias("both"), gr.F.lit(True).alias("one_colour")).toArrow()
+    assert gr._count_triple(table)["found"].to_pylist() == [84]
+
+
+def test_an_edge_goes_to_as_many_triples_as_there_are_colours(spark):
+    edges = build(spark, [(a, b, 1.0) for a in range(30) for b in range(a + 1, 30)])
+    plan = gr.triangles(edges, gr.degrees(edges), 30)
+    assert gr.colours_for(435, 30) == 10 and plan.first()[0] == 30 * 29 * 28 // 6
+    assert gr.colours_for(0) == 4

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators import audits as au
 from tallgrass.operators import orders as od
+from tallgrass.plans.lineage import cut_lineage
 from tallgrass.catalog import QUERIES, fixtures
 from tallgrass.catalog.registry import Tables
 
@@ -115,3 +116,25 @@ def test_audits(spark):
     assert rows(au.cascade_delete(df, parent, ["k"], ["id"])) == [(2, None)]
     with pytest.raises(ValueError):
         au.broken_rules(df, {})
+
+
+def test_rounds_write_fewer_and_fewer_lines(spark, monkeypatch):
+    """Only lines of open orders are written again; a verdict is written once."""
+    rng = random.Random(3)
+    stock = {(0, p): 40 for p in range(8)}
+    needs = [(order, 0, p, rng.randint(1, 9)) for order in range(120) for p in rng.sample(range(8), 2)]
+    written = []
+
+    def counted(df):
+        kept = cut_lineage(df)
+        written.append((set(kept.columns), kept.count()))
+        return kept
+
+    monkeypatch.setattr(od, "cut_lineage", counted)
+    got = od.fulfil(spark.createDataFrame(needs, LINE), spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], STOCK))
+    verdicts = {r["order_id"]: r["accepted"] for r in got.collect()}
+    assert got.count() == len(verdicts) == 120 and verdicts == serial(needs, stock)
+    rounds = [n for columns, n in written if "taken" in columns]
+    assert len(rounds) > 2 and rounds == sorted(rounds, reverse=True) and rounds[-1] < rounds[0] / 2
+    # one scan of the verdicts' folder, however many rounds there were
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1

@@ -76,3 +76,35 @@ def test_bounded_run_stops_the_query(spark, source, tmp_path):
     assert not query.isActive
     with pytest.raises(ValueError):
         etl.run_for(query, 0)
+
+
+def test_limit_keeps_its_total_with_the_batches(spark, tmp_path):
+    target = tmp_path / "out"
+    calls = []
+    handler = etl.limited_writer(str(target), 30, lambda: calls.append(1))
+    batches = [spark.range(i * 20, i * 20 + 20, numPartitions=4) for i in range(4)]
+    for i in (0, 1, 2, 3):
+        handler(batches[i], i)
+    handler(batches[1], 1)  # a replay of the batch that crosses the limit
+    kept = sorted(r["id"] for r in etl.read_batches(spark, str(target)).collect())
+    assert len(kept) == len(set(kept)) == 30 and set(range(20)) < set(kept) <= set(range(40))
+    # no folder for rows behind the limit, and the total is known without the rows
+    assert sorted(p.name for p in target.iterdir()) == ["_totals", "batch_id=0", "batch_id=1"]
+    assert [etl._written(spark, str(target), i) for i in range(-1, 4)] == [0, 20, 30, 30, 30]
+    assert len(calls) == 4
+
+
+def test_a_limited_run_stops_itself_and_stays_full(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(12):
+        (folder / f"{i:02}.txt").write_text("\n".join(f"{i}-{j}" for j in range(10)))
+    target, progress = str(tmp_path / "out"), str(tmp_path / "cp")
+    assert etl.run_limited(open_source(spark, str(folder)), target, 25, progress) is True
+    kept = [r["value"] for r in etl.read_batches(spark, target).collect()]
+    assert len(kept) == len(set(kept)) == 25
+    # started again, nothing is added
+    assert etl.run_limited(open_source(spark, str(folder)), target, 25, progress) is True
+    assert etl.read_batches(spark, target).count() == 25
+    assert etl.run_limited(open_source(spark, str(folder)), str(tmp_path / "all"), 1000, str(tmp_path / "cp2")) is False
+    assert etl.read_batches(spark, str(tmp_path / "all")).count() == 120

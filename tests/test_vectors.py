@@ -141,3 +141,47 @@ def test_linear_class_ties_take_the_lowest_index(spark):
     df = frame(spark, np.array([[1.0], [-1.0]]), "id")
     weights = np.array([[0.0, 1.0], [0.0, 1.0], [0.0, -1.0]])
     assert [r["prediction"] for r in vec.linear_class(df, weights).orderBy("id").collect()] == [0, 2]
+
+
+def test_the_matrix_product_finds_what_differences_find():
+    rng = np.random.default_rng(8)
+    for scale, shift in ((1.0, 0.0), (1e-3, 1e4), (1e6, -3.0)):
+        # copies and near ties, far from the origin: the product alone would confuse them
+        right = rng.normal(size=(300, 6)) * scale + shift
+        right[100:140] = right[0]
+        right[140:180] = right[0] + 1e-9 * scale
+        left = np.vstack([rng.normal(size=(40, 6)) * scale + shift, right[:20]])
+        gaps = vec.distances(left, right)
+        for k in (1, 5, 60, 400):
+            row, col, dist = vec.nearest_pairs(left, right, k)
+            worst = np.sort(gaps, axis=1)[:, min(k, 300) - 1]
+            want = np.nonzero(gaps <= worst[:, None])
+            assert set(zip(row.tolist(), col.tolist())) == set(zip(*(w.tolist() for w in want)))
+            assert (dist == gaps[row, col]).all()
+
+
+def test_groups_are_joined_to_bins():
+    pivots = np.array([[0.0], [10.0], [1.0], [11.0], [2.0]])
+    bins = nb._bins(pivots, {(0, 0): 5, (0, 1): 4, (0, 2): 5, (0, 3): 4, (7, 4): 99}, 10)
+    # neighbours share a bin, a group without rows has one too
+    assert bins[0, 0] == bins[0, 2] != bins[0, 1] == bins[0, 3] and (0, 4) in bins and bins[7, 4] == 0
+
+
+def test_vectors_stay_out_of_the_range_sort(spark, monkeypatch):
+    seen = []
+    real = cl.rank_in_group
+    monkeypatch.setattr(cl, "rank_in_group", lambda df, *a, **k: (seen.append(df.columns), real(df, *a, **k))[1])
+    x = np.random.default_rng(1).normal(size=(40, 3))
+    got = cl.trimmed_kmeans(frame(spark, x, "id"), x[:2], 2, 3)
+    assert np.allclose(got, trimmed(x, x[:2], 2, 3)) and seen[0] == ["id", "cluster", "dist"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_a_join_on_buckets_leaves_them_in_place(spark):
+    from tallgrass.plans.lineage import bucketed
+
+    with bucketed(frame(spark, np.eye(40), "id"), "id", 40, bucket_rows=2) as placed:
+        left_out = spark.range(0, 40, 3).hint("merge")
+        kept = placed.join(left_out, "id", "left_anti")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 26 and "Bucketed: true" in plan and plan.count("hashpartitioning(id") == 1
