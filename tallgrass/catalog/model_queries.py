@@ -27,10 +27,14 @@ def _rain(t: Tables) -> DataFrame:
     return ml.assemble(learning(t).na.drop("any"), keep=_KEYS)
 
 
-def _rain_split(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _split_rain(t: Tables) -> DataFrame:
     named = _rain(t).withColumn("row_id", F.concat_ws("/", *_KEYS))
     # written once: a fit and its evaluation go over the table many times
-    parts = cut_lineage(hash_split(named, "row_id", 0.7, seed=11).select("label", "features", "is_train"))
+    return cut_lineage(hash_split(named, "row_id", 0.7, seed=11).select(*_KEYS, "label", "features", "is_train"))
+
+
+def _rain_split(t: Tables) -> tuple[DataFrame, DataFrame]:
+    parts = _split_rain(t).select("label", "features", "is_train")
     return parts.where("is_train").drop("is_train"), parts.where("NOT is_train").drop("is_train")
 
 
@@ -39,10 +43,77 @@ def ml_assemble(t: Tables) -> DataFrame:
     return _rain(t).select(*_KEYS, "label", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
-@query("ml_linreg")
+STRENGTH, MIX = 0.3, 0.8
+
+
+def _optimum_sql(sweeps: int) -> str:
+    """The elastic-net optimum by coordinate descent on the moments, one coordinate a step: fit (b, intercept).
+
+    ``rain`` holds the rows with their side of the split; ``moments`` the numbers of the training rows.
+    """
+    names = [f'"{c}"' for c in ml.RAIN_FEATURES]
+    n = len(names)
+    limit = format(int(0.7 * 2**32), "08x")
+    spread = ", ".join(f"stddev_pop({c})" for c in names)
+    gram = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in names) + "]" for a in names)
+    cross = ", ".join(f"covar_pop({c}, y)" for c in names)
+    return f"""
+rain AS (
+  SELECT "StationId", "Year_Rec", "Month_Rec", "PRCP" AS y, {", ".join(names)},
+         substr(md5('11:' || "StationId" || '/' || "Year_Rec" || '/' || "Month_Rec"), 1, 8) < '{limit}' AS is_train
+  FROM learning WHERE {_WHOLE}
+), raw AS (
+  SELECT [{spread}] AS s, [{", ".join(f"avg({c})" for c in names)}] AS m, [{gram}] AS g, [{cross}] AS c, avg(y) AS ym, stddev_pop(y) AS ys
+  FROM rain WHERE is_train
+), moments AS (
+  SELECT s, m, ym, {STRENGTH} * {MIX} AS l1, {STRENGTH} * (1 - {MIX}) / ys AS l2,
+         list_transform(g, lambda r, i: list_transform(r, lambda v, j: CASE WHEN s[i] * s[j] > 0 THEN v / (s[i] * s[j]) ELSE 0 END)) AS g,
+         list_transform(c, lambda v, i: CASE WHEN s[i] > 0 THEN v / s[i] ELSE 0 END) AS c
+  FROM raw
+), steps AS (
+  SELECT 0 AS step, list_transform(range({n}), lambda i: 0.0::DOUBLE) AS w
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda v, i: CASE WHEN i - 1 = step % {n}
+           THEN sign(c[i] - list_dot_product(g[i], w) + v * g[i][i]) * greatest(abs(c[i] - list_dot_product(g[i], w) + v * g[i][i]) - l1, 0) / (1 + l2)
+           ELSE v END)
+  FROM steps, moments WHERE step < {n * sweeps}
+), fit AS (
+  SELECT list_transform(w, lambda v, i: CASE WHEN s[i] > 0 THEN v / s[i] ELSE 0 END) AS b,
+         ym - list_dot_product(list_transform(w, lambda v, i: CASE WHEN s[i] > 0 THEN v / s[i] ELSE 0 END), m) AS intercept
+  FROM steps, moments WHERE step = {n * sweeps}
+), fitted AS (
+  SELECT "StationId", "Year_Rec", "Month_Rec", y, is_train, intercept + list_dot_product(b, [{", ".join(f"{c}::DOUBLE" for c in names)}]) AS p FROM rain, fit
+)"""
+
+
+_COEFFICIENT_ROWS = " UNION ALL ".join(f"SELECT 'coefficient {c}' AS name, b[{i}] AS value FROM fit" for i, c in enumerate(ml.RAIN_FEATURES, 1))
+_ERROR_ROWS = " UNION ALL ".join(
+    f"SELECT '{side} rmse', sqrt(avg((y - p) * (y - p))) FROM fitted WHERE {where} "
+    f"UNION ALL SELECT '{side} r2', 1 - avg((y - p) * (y - p)) / var_pop(y) FROM fitted WHERE {where}"
+    for side, where in (("train", "is_train"), ("test", "NOT is_train"))
+)
+
+
+@query("ml_linreg", f"""
+WITH RECURSIVE {fx.LEARNING_SQL}, {_optimum_sql(200)}
+SELECT name, round(value, 5) AS value FROM (
+  {_COEFFICIENT_ROWS} UNION ALL SELECT 'intercept', intercept FROM fit UNION ALL {_ERROR_ROWS}
+  UNION ALL SELECT 'violation', 0 UNION ALL SELECT 'excess after 10 iterations', 0)
+""")
 def ml_linreg(t: Tables) -> DataFrame:
-    report, _ = ml.linear_regression(*_rain_split(t))
-    return report
+    report = ml.elastic_net_report(*_rain_split(t), 10, STRENGTH, MIX)
+    return report.withColumn("value", F.round("value", 5))
+
+
+@query("ml_linreg_residuals", f"""
+WITH RECURSIVE {fx.LEARNING_SQL}, {_optimum_sql(200)}
+SELECT "StationId", "Year_Rec", "Month_Rec", is_train, y AS label, round(p, 4) AS prediction, round(y - p, 4) AS residual FROM fitted
+""")
+def ml_linreg_residuals(t: Tables) -> DataFrame:
+    rows = _split_rain(t)
+    fit = ml.elastic_net(rows.where("is_train"), STRENGTH, MIX)
+    found = ml.residuals(rows, fit)
+    return found.select(*_KEYS, "is_train", "label", F.round("prediction", 4).alias("prediction"), F.round("residual", 4).alias("residual"))
 
 
 @query("ml_tree_reg")
@@ -76,6 +147,9 @@ def _labelled_split(t: Tables, label: str = "label", size: int | None = None) ->
 
 
 TWO_CLASSES = "label < 5"
+# classes that the first two features tell apart but for a share of noise, which the third brings in
+RING = "embedding[0] * embedding[0] + embedding[1] * embedding[1] + embedding[2] / 50 > 0.025"
+SLOPE = "embedding[0] + embedding[1] / 2 + embedding[2] / 4 > 0"
 
 
 @query("ml_cv_error")
@@ -99,51 +173,45 @@ def ml_linear_svm(t: Tables) -> DataFrame:
 
 @query("ml_poly_svm")
 def ml_poly_svm(t: Tables) -> DataFrame:
-    return ml.polynomial_svm(*_labelled_split(t, TWO_CLASSES, size=2), degrees=range(2, 9), threads=8)
+    return ml.polynomial_svm(*_labelled_split(t, RING, size=2), degrees=range(2, 9), threads=8)
 
 
 @query("ml_hinge_svm")
 def ml_hinge_svm(t: Tables) -> DataFrame:
-    return ml.hinge_svm(*_labelled_split(t, TWO_CLASSES, size=2), penalties=[0, 0.05, 0.1, 0.2, 0.5], threads=8)
+    return ml.hinge_svm(*_labelled_split(t, SLOPE, size=2), penalties=[0, 0.05, 0.1, 0.2, 0.5], threads=8)
 
 
-EPOCHS = 3
+CLASSES = 10
 
 
 def _perceptron_sql() -> str:
-    """Epochs of scoring and correcting; w0 is all zero, x has a leading 1."""
-    parts = [
-        "x AS (SELECT vec_id AS id, label, list_prepend(1.0::DOUBLE, CAST(embedding AS DOUBLE[])) AS v FROM embeddings)",
-        "k AS (SELECT DISTINCT label AS class FROM x)",
-        "w0 AS (SELECT class, list_transform(v, lambda e: 0.0::DOUBLE) AS w FROM k, (SELECT v FROM x ORDER BY id LIMIT 1))",
-    ]
-    for i in range(1, EPOCHS + 1):
-        parts.append(
-            f"s{i} AS (SELECT id, label, v, class AS said FROM x, w{i - 1} QUALIFY row_number() OVER "
-            "(PARTITION BY id ORDER BY list_dot_product(v, w) DESC, class) = 1)"
-        )
-        parts.append(
-            f"d{i} AS (SELECT class, pos, sum(e) AS e FROM ("
-            f"SELECT label AS class, unnest(v) AS e, generate_subscripts(v, 1) AS pos FROM s{i} WHERE said <> label UNION ALL "
-            f"SELECT said, -unnest(v), generate_subscripts(v, 1) FROM s{i} WHERE said <> label) GROUP BY ALL)"
-        )
-        parts.append(
-            f"w{i} AS (SELECT class, list(e + coalesce(d.e, 0) ORDER BY pos) AS w FROM "
-            f"(SELECT class, unnest(w) AS e, generate_subscripts(w, 1) AS pos FROM w{i - 1}) o "
-            f"LEFT JOIN d{i} d USING (class, pos) GROUP BY class)"
-        )
-    parts[-1] = parts[-1].replace("list(e +", "list(o.e +")
-    return "WITH " + ",\n".join(p.replace("list(e + coalesce", "list(o.e + coalesce") for p in parts)
+    """Epochs of scoring and correcting until no row is wrong; w holds one class after the other, x has a leading 1."""
+    size = CLASSES + 1
+    return f"""
+WITH RECURSIVE x AS (
+  SELECT label, list_prepend(1.0::DOUBLE, list_transform(embedding[1:{CLASSES}], lambda e, i: e::DOUBLE + CASE WHEN i - 1 = label THEN 1 ELSE 0 END)) AS v
+  FROM embeddings
+), t AS (
+  SELECT 0 AS step, list_transform(range({CLASSES * size}), lambda i: 0.0::DOUBLE) AS w, 1::BIGINT AS wrong
+  UNION ALL
+  SELECT step + 1, list(w + change ORDER BY i), any_value(wrong) FROM (
+    SELECT step, i, any_value(w[i + 1]) AS w, count(*) FILTER (WHERE said <> label) AS wrong,
+           sum(CASE WHEN said = label THEN 0 WHEN i // {size} = label THEN v[i % {size} + 1] WHEN i // {size} = said THEN -v[i % {size} + 1] ELSE 0 END) AS change
+    FROM (SELECT step, w, label, v, list_position(score, list_max(score)) - 1 AS said FROM (
+            SELECT step, w, label, v, list_transform(range({CLASSES}), lambda c: list_dot_product(v, w[c * {size} + 1:(c + 1) * {size}])) AS score
+            FROM t, x WHERE wrong > 0)), range({CLASSES * size}) r(i)
+    GROUP BY step, i) GROUP BY step
+)"""
 
 
 @query("ml_perceptron", _perceptron_sql() + f"""
-SELECT CAST(class AS INTEGER) AS class, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, round(unnest(w), 6) AS value FROM w{EPOCHS}
+SELECT CAST(i // {CLASSES + 1} AS INTEGER) AS class, CAST(i % {CLASSES + 1} AS INTEGER) AS pos, round(w[i + 1], 6) AS value
+FROM (SELECT w FROM t WHERE wrong = 0), range({CLASSES * (CLASSES + 1)}) r(i)
 """)
 def ml_perceptron(t: Tables) -> DataFrame:
-    rows = t.embeddings.select(vec.to_doubles("embedding").alias("features"), "label")
-    first = rows.select(F.size("features")).first()[0]
-    classes = rows.agg(F.max("label")).first()[0] + 1
-    weights = ml.perceptron(rows, classes, first, EPOCHS)
+    # the label's own feature stands out by 1, so the classes can be told apart and the epochs end
+    lifted = F.transform(F.slice(vec.to_doubles("embedding"), 1, CLASSES), lambda e, i: e + (i == F.col("label")).cast("int"))
+    weights = ml.perceptron(t.embeddings.select(lifted.alias("features"), "label"), CLASSES, CLASSES)
     frame = t.spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(weights)], "class int, w array<double>")
     return frame.select("class", F.posexplode("w").alias("pos", "value")).withColumn("value", F.round("value", 6))
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tallgrass.functions.vectors import block
+from tallgrass.functions.vectors import block, gram, mean_vector, with_columns
+from tallgrass.operators.margins import Machine, fit_machine
 from tallgrass.operators.selection import with_folds
 
 # fixed values: the features of the yearly rain model, in order
@@ -73,6 +76,116 @@ def linear_regression(
     return named_values(train.sparkSession, values), residuals
 
 
+@dataclass(frozen=True)
+class _Moments:
+    """Second moments of standardised inputs and a centred label, and the penalties on them."""
+
+    mean: np.ndarray
+    spread: np.ndarray
+    gram: np.ndarray
+    cross: np.ndarray
+    label_mean: float
+    variance: float
+    l1: float
+    l2: float
+
+    def objective(self, g: np.ndarray) -> float:
+        return (self.variance - 2 * self.cross @ g + g @ self.gram @ g) / 2 + self.l1 * np.abs(g).sum() + self.l2 / 2 * g @ g
+
+    def violation(self, g: np.ndarray) -> float:
+        """Largest distance of a coordinate from the optimality conditions, in units of the label's spread."""
+        pull = self.cross - self.gram @ g - self.l2 * g
+        off = np.where(g != 0, np.abs(pull - self.l1 * np.sign(g)), np.maximum(np.abs(pull) - self.l1, 0))
+        return float(off.max(initial=0.0)) / math.sqrt(self.variance) if self.variance else 0.0
+
+
+@dataclass(frozen=True)
+class ElasticNet:
+    """A linear fit at its optimum, and how far it is from meeting the conditions of one."""
+
+    inputs: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+    objective: float
+    violation: float
+    moments: _Moments
+
+    def prediction(self, features: str = "features") -> Column:
+        """The fitted value of a feature vector, as an expression."""
+        x = vector_to_array(features)
+        total = F.lit(self.intercept)
+        for i, c in enumerate(self.coefficients):
+            total = total + F.lit(c) * x[i]
+        return total
+
+    def excess(self, coefficients: Sequence[float]) -> float:
+        """How far the objective of other coefficients lies above the optimum, as a share of the variance."""
+        return (self.moments.objective(np.asarray(coefficients, float) * self.moments.spread) - self.objective) / self.moments.variance
+
+
+def elastic_net(train: DataFrame, strength: float = 0.3, mix: float = 0.8, inputs: Sequence[str] = RAIN_FEATURES, tolerance: float = 1e-13) -> ElasticNet:
+    """The elastic-net fit of (features, label) run to its optimum.
+
+    The same function as ``LinearRegression`` minimises: half the mean squared error, plus the
+    penalty on coefficients of inputs divided by their spread, the squared part also divided by the
+    spread of the label.  One aggregate takes the moments of all pairs of columns; on these few
+    numbers coordinates are set to their best value in turn until the conditions of an optimum hold.  An input
+    without spread gets 0.  No rows, or a label without spread, give the mean.
+    """
+    if strength < 0 or not 0 <= mix <= 1:
+        raise ValueError("strength must not be negative and mix must lie between 0 and 1")
+    n = len(inputs)
+    x = vector_to_array("features")
+    columns = [x[i] for i in range(n)] + [F.col("label")]
+    pairs = [(i, j) for i in range(n + 1) for j in range(i, n + 1)]
+    row = train.agg(
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
+    mean = np.array([row[f"m{i}"] or 0.0 for i in range(n + 1)])
+    scatter = np.zeros((n + 1, n + 1))
+    for i, j in pairs:
+        scatter[i, j] = scatter[j, i] = row[f"c{i}_{j}"] or 0.0
+    spread = np.sqrt(np.diag(scatter))
+    divisor = np.where(spread[:n] > 0, spread[:n], 1.0)
+    label_spread = spread[n] or 1.0
+    moments = _Moments(
+        mean[:n], spread[:n], scatter[:n, :n] / np.outer(divisor, divisor), scatter[:n, n] / divisor, mean[n], scatter[n, n],
+        strength * mix, strength * (1 - mix) / label_spread,
+    )
+    g = np.zeros(n)
+    while moments.violation(g) > tolerance:
+        before = g.copy()
+        for i in np.flatnonzero(spread[:n] > 0):
+            rest = moments.cross[i] - moments.gram[i] @ g + g[i] * moments.gram[i, i]
+            g[i] = np.sign(rest) * max(abs(rest) - moments.l1, 0.0) / (moments.gram[i, i] + moments.l2)
+        if np.array_equal(before, g):
+            break
+    coefficients = np.where(spread[:n] > 0, g / divisor, 0.0)
+    return ElasticNet(
+        tuple(inputs), tuple(coefficients.tolist()), float(mean[n] - coefficients @ mean[:n]), float(moments.objective(g)), moments.violation(g), moments
+    )
+
+
+def elastic_net_report(train: DataFrame, test: DataFrame, iterations: int = 10, strength: float = 0.3, mix: float = 0.8, inputs: Sequence[str] = RAIN_FEATURES) -> DataFrame:
+    """The optimum (coefficients, errors on both sides, violation of the optimality conditions) and
+    by how much a solver of ``iterations`` iterations misses it, as a share of the label's variance."""
+    best = elastic_net(train, strength, mix, inputs)
+    values = {f"coefficient {n}": c for n, c in zip(inputs, best.coefficients, strict=True)} | {"intercept": best.intercept}
+    for side, rows in (("train", train), ("test", test)):
+        found = regression_metrics(rows.select("label", best.prediction().alias("prediction"))).first()
+        values |= {f"{side} {m}": found[m] if found[m] is not None else math.nan for m in ("rmse", "r2")}
+    solver = LinearRegression(maxIter=iterations, regParam=strength, elasticNetParam=mix).fit(train)
+    values |= {"violation": best.violation, f"excess after {iterations} iterations": best.excess(solver.coefficients.toArray())}
+    return named_values(train.sparkSession, values)
+
+
+def residuals(df: DataFrame, fit: ElasticNet) -> DataFrame:
+    """Every row with its ``prediction`` and ``residual`` (label - prediction), in place of the features."""
+    predicted = df.withColumn("prediction", fit.prediction())
+    return predicted.withColumn("residual", F.col("label") - F.col("prediction")).drop("features")
+
+
 def _test_metrics(predictions: DataFrame) -> dict[str, float]:
     return {f"test {m}": RegressionEvaluator(metricName=m).evaluate(predictions) for m in ("rmse", "r2")}
 
@@ -133,59 +246,102 @@ def logistic_grid(
     return train.sparkSession.createDataFrame(table, "strength double, train_error double, validation_error double, test_error double")
 
 
-def _svm_table(train: DataFrame, validation: DataFrame, settings: list[tuple[float, object]], name: str, threads: int) -> DataFrame:
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+#: How far the value of a machine may lie above the optimum, in units of the mean hinge loss.
+GAP = 1e-4
 
-    def fit(value: float, estimator) -> tuple[float, float, float, float]:
-        model = estimator.fit(train)
-        last = model.stages[-1] if hasattr(model, "stages") else model
-        norm = float(np.linalg.norm(last.coefficients.toArray()))
-        return float(value), _error(model.transform(train)), _error(model.transform(validation)), 1 / norm if norm else float("inf")
 
-    try:
-        found = _in_parallel([lambda v=v, e=e: fit(v, e) for v, e in settings], threads)
-    finally:
-        train.unpersist()
-    return train.sparkSession.createDataFrame(
-        found, f"{name} double, train_error double, validation_error double, margin double"
+def _machine_table(found: list[tuple[float, DataFrame, DataFrame, Machine]], name: str, spark: SparkSession) -> DataFrame:
+    """One row per setting: errors on both sides, margin 1 / |w|, the value reached and its certificate."""
+
+    def measured(value: float, train: DataFrame, validation: DataFrame, machine: Machine) -> tuple:
+        errors = [_error(rows.select("label", machine.prediction().alias("prediction"))) for rows in (train, validation)]
+        return float(value), *errors, machine.margin, machine.value, machine.gap
+
+    rows = [measured(*setting) for setting in found]
+    return spark.createDataFrame(
+        rows, f"{name} double, train_error double, validation_error double, margin double, objective double, gap double"
     )
 
 
-def linear_svm(train: DataFrame, validation: DataFrame, costs: Sequence[float], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
-    """Errors and margin 1/|w| for each cost of a summed hinge loss."""
+def _machines(train: DataFrame, validation: DataFrame, penalties: dict[float, float], name: str, threads: int) -> DataFrame:
+    jobs = [lambda v=v, p=p: (v, train, validation, fit_machine(train, p, GAP)) for v, p in penalties.items()]
+    return _machine_table(_in_parallel(jobs, threads), name, train.sparkSession)
+
+
+def linear_svm(train: DataFrame, validation: DataFrame, costs: Sequence[float], threads: int = 4) -> DataFrame:
+    """Errors and margin 1/|w| for each cost of a summed hinge loss, fitted to a certified gap."""
     rows = train.count()
-    settings = [(c, LinearSVC(regParam=1 / (c * rows), standardization=False, maxIter=iterations)) for c in costs]
-    return _svm_table(train, validation, settings, "cost", threads)
+    return _machines(train, validation, {c: 1 / (c * rows) for c in costs}, "cost", threads)
+
 
+def orthonormal(df: DataFrame, name: str, cutoff: float = 1e-10) -> Callable[[DataFrame], DataFrame]:
+    """A transform that replaces the vector column ``name`` by uncorrelated columns of mean 0 and spread 1.
 
-def polynomial_svm(train: DataFrame, validation: DataFrame, degrees: Sequence[int], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
-    """Linear SVM on all monomials up to each degree, scaled; cost 1."""
+    The directions are those of the correlation matrix of ``df``; one with less than ``cutoff`` of the
+    greatest share is rounding error and left out.  The mean and the matrix come from two passes; both are as small as a vector.
+    """
+    rows = df.select(vector_to_array(name).alias("v"))
+    n, mean = mean_vector(rows, "v")
+    scatter = np.zeros((len(mean), len(mean)))
+    for r in gram(rows, "v").collect():
+        scatter[r["i"], r["j"]] = scatter[r["j"], r["i"]] = r["value"] / n
+    spread = np.sqrt(np.diag(scatter))
+    scale = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1.0), 0.0)
+    share, axes = np.linalg.eigh(scatter * np.outer(scale, scale))
+    kept = share > cutoff * share.max(initial=0.0)
+    turn = scale[:, None] * axes[:, kept] / np.sqrt(share[kept])
+
+    def compute(x: np.ndarray) -> list[pa.Array]:
+        made = (x - mean) @ turn
+        ends = np.arange(len(made) + 1, dtype=np.int32) * made.shape[1]
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))]
+
+    def transform(other: DataFrame) -> DataFrame:
+        arrays = other.withColumn(name, vector_to_array(name))
+        added = T.StructType().add("_turned", T.ArrayType(T.DoubleType()))
+        return with_columns(arrays, name, added, compute).drop(name).withColumn(name, array_to_vector("_turned")).drop("_turned")
+
+    return transform
+
+
+def polynomial_svm(train: DataFrame, validation: DataFrame, degrees: Sequence[int], threads: int = 4) -> DataFrame:
+    """Linear SVM on all monomials up to each degree; cost 1.
+
+    Monomials of one degree and the next are all but equal, and a solver creeps along them.  So they are
+    first turned into uncorrelated columns of spread 1 (``orthonormal``), which span the same polynomials;
+    the penalty, and with it the margin, is measured on those columns.
+    """
     rows = train.count()
-    settings = [
-        (d, Pipeline(stages=[
-            PolynomialExpansion(degree=d, inputCol="features", outputCol="expanded"),
-            StandardScaler(inputCol="expanded", outputCol="scaled", withMean=True),
-            LinearSVC(featuresCol="scaled", regParam=1 / rows, standardization=False, maxIter=iterations),
-        ]))
-        for d in degrees
-    ]
-    return _svm_table(train, validation, settings, "degree", threads)
+
+    def fit(degree: int) -> tuple[float, DataFrame, DataFrame, Machine]:
+        expand = PolynomialExpansion(degree=degree, inputCol="features", outputCol="expanded")
+
+        def expanded(df: DataFrame) -> DataFrame:
+            return expand.transform(df).select("label", F.col("expanded").alias("features"))
+
+        turn = orthonormal(expanded(train), "features")
+        ready = turn(expanded(train))
+        return float(degree), ready, turn(expanded(validation)), fit_machine(ready, 1 / rows, GAP)
+
+    found = _in_parallel([lambda d=d: fit(d) for d in degrees], threads)
+    return _machine_table(found, "degree", train.sparkSession)
 
 
-def hinge_svm(train: DataFrame, validation: DataFrame, penalties: Sequence[float], iterations: int = UNTIL_TOLERANCE, threads: int = 4) -> DataFrame:
-    """Mean hinge loss + penalty |w|^2; Spark's own penalty term is regParam / 2 |w|^2."""
-    settings = [(p, LinearSVC(regParam=2 * p, standardization=False, maxIter=iterations)) for p in penalties]
-    return _svm_table(train, validation, settings, "penalty", threads)
+def hinge_svm(train: DataFrame, validation: DataFrame, penalties: Sequence[float], threads: int = 4) -> DataFrame:
+    """Mean hinge loss + penalty |w|^2, fitted to a certified gap; the gap of penalty 0 is that of 5e-7."""
+    return _machines(train, validation, {p: 2 * p for p in penalties}, "penalty", threads)
 
 
-def perceptron(df: DataFrame, classes: int, size: int, max_epochs: int) -> np.ndarray:
+def perceptron(df: DataFrame, classes: int, size: int, max_epochs: int | None = None) -> np.ndarray:
     """Multiclass perceptron in batch form: classes x (1 + size) weights.
 
     Each epoch adds up, over all misclassified rows, (1, x) for the true class and takes it off
-    the predicted one.  A task sums its own rows; classes x (1 + size) numbers come back.
+    the predicted one, until no row is misclassified.  On classes that no weights can tell apart this
+    never ends; ``max_epochs`` stops it there.  A task sums its own rows; classes x (1 + size)
+    numbers come back.
     df: (features, label) with labels 0 .. classes - 1.
     """
-    if max_epochs < 1:
+    if max_epochs is not None and max_epochs < 1:
         raise ValueError("max_epochs must be at least 1")
     weights = np.zeros((classes, size + 1))
     rows = df.select("features", F.col("label").cast("int").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -211,7 +367,7 @@ def perceptron(df: DataFrame, classes: int, size: int, max_epochs: int) -> np.nd
         return run
 
     try:
-        for _ in range(max_epochs):
+        for _ in itertools.count() if max_epochs is None else range(max_epochs):
             step = rows.mapInArrow(correction(weights), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
             moved = weights.copy()
             for r in step.collect():

@@ -3,10 +3,13 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 
 from tallgrass.functions.vectors import linear_class
 from tallgrass.operators import models as ml
+from tallgrass.operators.margins import fit_machine
 
 
 def values(df):
@@ -113,3 +116,85 @@ def test_svm_tables(spark):
     assert linear[0]["margin"] > linear[1]["margin"] and linear[1]["validation_error"] == 0
     assert ml.hinge_svm(train, validation, [0.05, 0.5]).count() == 2
     assert [r["validation_error"] for r in ml.polynomial_svm(train, validation, [2, 3]).collect()] == [0, 0]
+
+
+def objective(x, y, w, b, penalty):
+    return penalty / 2 * w @ w + np.maximum(0, 1 - np.where(y > 0, 1, -1) * (x @ w + b)).mean()
+
+
+@pytest.mark.parametrize("penalty", [1e-3, 0.1, 2.0])
+def test_a_machine_lies_within_its_gap_of_the_optimum(spark, penalty):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(150, 3))
+    y = (x[:, 0] + 0.5 * rng.normal(size=150) > 0.4).astype(int)
+    got = fit_machine(labelled(spark, x, y).repartition(3), penalty, 1e-5)
+    assert got.value == pytest.approx(objective(x, y, got.weights, got.intercept, penalty)) and 0 <= got.gap <= 1e-5
+    # no other plane lies below the bound, near or far, and steps downhill find none
+    bound = got.value - got.gap - 1e-12
+    for scale in (1e-3, 1e-2, 0.1, 1.0, 5.0):
+        for _ in range(200):
+            assert objective(x, y, got.weights + scale * rng.normal(size=3), got.intercept + scale * rng.normal(), penalty) >= bound
+    w, b, best = np.zeros(3), 0.0, 9.0
+    for step in range(1, 20_001):
+        short = (1 - np.where(y > 0, 1, -1) * (x @ w + b) > 0) * np.where(y > 0, 1, -1)
+        w, b = w - (penalty * w - short @ x / 150) / (penalty + 1) / step**0.6, b + short.mean() / step**0.6
+        best = min(best, objective(x, y, w, b, penalty))
+    assert best >= bound and best - got.value < 5e-3
+
+
+def test_machines_of_awkward_tables(spark):
+    empty = spark.createDataFrame([], "id long, label double, features array<double>").select("label", array_to_vector("features").alias("features"))
+    assert fit_machine(empty, 1.0).passes == 0
+    one = fit_machine(labelled(spark, np.eye(3), [1, 1, 1]), 1.0)
+    assert one.intercept > 0 and not one.weights.any() and one.gap == 0
+    # copies of one point on both sides: half of them must be wrong
+    same = fit_machine(labelled(spark, np.ones((8, 2)), [0, 1] * 4), 0.5)
+    assert same.value == pytest.approx(1, abs=1e-3)
+    rows = labelled(spark, np.array([[2.0, 0.0], [-2.0, 0.0]]), [1, 0])
+    machine = fit_machine(rows, 0.01)
+    assert [r[0] for r in rows.select(machine.prediction()).collect()] == [1.0, 0.0]
+    for bad in ((-1.0, 1e-4), (1.0, 0.0)):
+        with pytest.raises(ValueError):
+            fit_machine(rows, *bad)
+
+
+def test_polynomials_are_turned_into_uncorrelated_columns(spark):
+    x = np.random.default_rng(9).normal(size=(80, 2)) + 5
+    df = labelled(spark, np.hstack([x, x[:, :1] * 2, np.ones((80, 1))]), [0] * 80)
+    turned = np.array([r[0].toArray() for r in ml.orthonormal(df, "features")(df).select("features").collect()])
+    # a multiple and a constant add no direction
+    assert turned.shape == (80, 2) and np.allclose(turned.mean(axis=0), 0) and np.allclose(turned.T @ turned / 80, np.eye(2))
+    ring = (np.hypot(*(x - 5).T) > 1).astype(int)
+    table = ml.polynomial_svm(labelled(spark, x, ring), labelled(spark, x, ring), [1, 2]).orderBy("degree").collect()
+    assert table[0]["train_error"] > 0.2 > 0.1 > table[1]["train_error"] and all(r["gap"] <= ml.GAP for r in table)
+
+
+def test_elastic_net_meets_the_conditions_and_equals_the_solver(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(200, 6)) * [1, 5, 0.1, 1, 1, 0] + [0, 9, 0, 0, 0, 3]
+    y = x @ np.array([2.0, 0.3, 5.0, 0, 0, 0]) + rng.normal(size=200) + 4
+    df = labelled(spark, x, y)
+    fit = ml.elastic_net(df, 0.3, 0.8)
+    assert fit.violation < 1e-12 and fit.coefficients[5] == 0
+    solver = LinearRegression(maxIter=10_000, tol=1e-14, regParam=0.3, elasticNetParam=0.8).fit(df)
+    assert np.allclose(fit.coefficients, solver.coefficients.toArray(), atol=1e-5) and fit.intercept == pytest.approx(solver.intercept, abs=1e-4)
+    assert abs(fit.excess(solver.coefficients.toArray())) < 1e-8
+    few = LinearRegression(maxIter=1, regParam=0.3, elasticNetParam=0.8).fit(df)
+    assert fit.excess(few.coefficients.toArray()) > 1e-4
+    rows = ml.residuals(df, fit).collect()
+    assert len(rows) == 200 and all(r["residual"] == pytest.approx(r["label"] - r["prediction"]) for r in rows)
+    want = x @ np.array(fit.coefficients) + fit.intercept
+    assert np.allclose([r["prediction"] for r in sorted(rows, key=lambda r: r["id"])], want)
+    assert ml.elastic_net(df.where("id < 0")).coefficients == (0.0,) * 6
+    with pytest.raises(ValueError):
+        ml.elastic_net(df, -1.0)
+
+
+def test_perceptron_runs_until_nothing_is_wrong(spark):
+    rng = np.random.default_rng(12)
+    y = rng.integers(0, 4, 120)
+    x = rng.normal(size=(120, 4)) * 0.2 + np.eye(4)[y] * 1.5
+    df = spark.createDataFrame([(r.tolist(), int(v)) for r, v in zip(x, y)], "features array<double>, label int").repartition(3)
+    weights = ml.perceptron(df, 4, 4)
+    assert np.allclose(weights, batch_perceptron(x, y, 4, 100_000))
+    assert ((np.hstack([np.ones((120, 1)), x]) @ weights.T).argmax(axis=1) == y).all()
