@@ -29,10 +29,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest id."""
-    groups = near_join.near_groups(docs, width=5, num=80, den=100)
-    others = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(cut_lineage(others), docs["doc_id"] == F.col("_id"), "left_anti")
+    """One row of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest id.
+
+    Rows are told apart by a number of their own, so a row that repeats an id, or has none, goes only for
+    its own text.  A null id counts as the smallest.  Texts without words are copies of nothing
+    here and stay.  An empty table stays empty; columns of any name stay.
+    """
+    taken = set(docs.columns)
+    row = next(name for name in (f"row_{i}" for i in range(len(taken) + 1)) if name not in taken)
+    # written: the numbers must be the same whenever the rows are read
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    groups = near_join.near_groups(numbered, width=5, num=80, den=100, id_col=row)
+    several = groups.select(F.col("doc_id").alias(row), "component_id").join(
+        groups.where("component_id <> doc_id").select("component_id").distinct(), "component_id"
+    )
+    # the rows of groups of two and more: the first of each group stays
+    members = cut_lineage(numbered.select(row, "doc_id").join(several, row))
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", row))[row].alias(row))
+    return numbered.join(members.select(row).join(first, row, "left_anti"), row, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
