@@ -83,7 +83,7 @@ FROM d
 
 @register
 def op6_score_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_score.backoff_scores(load_table(spark, folder, "documents"), alpha=0.4, least=2)
+    return lm_score.backoff_scores(load_table(spark, folder, "documents"), alpha=0.4)
 
 
 TWINS["op6_score_backoff"] = r"""
@@ -96,7 +96,7 @@ WITH d AS (
 ), ones AS (
   SELECT word, count(*) AS n FROM t GROUP BY word
 ), twos AS (
-  SELECT before, word, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY before, word HAVING count(*) >= 2
+  SELECT before, word, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY before, word
 ), s AS (
   SELECT t.doc_id, CASE WHEN twos.n IS NOT NULL THEN ln(twos.n / c.n)
                         WHEN t.before IS NULL THEN ln(o.n / (SELECT sum(n) FROM ones))

@@ -239,3 +239,20 @@ def test_a_class_without_words_of_its_own_leaves_the_other_its_words():
     assert b"villainous" in model.toxic and b"villainous" not in model.ordinary and len(model.toxic) == len(model.ordinary)
     model = toxicity._dictionaries(texts(""), texts("gentle"))
     assert b"gentle" in model.ordinary and b"gentle" not in model.toxic
+
+
+# pipeline
+
+def test_near_copies_go_by_row(spark):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400)]
+    first, other = rng.sample(words, 60), rng.sample(words, 60)
+    near = " ".join(first[:-1] + ["changed"])
+    rows = [(1, " ".join(first), "x"), (2, near, "y"), (2, " ".join(other), "z"), (None, " ".join(rng.sample(words, 60)), "n"), (None, None, "m"), (3, "", "e"), (4, "", "f")]
+    schema = "doc_id long, text string, row_0 string"
+    kept = pipeline.drop_near_copies(spark, spark.createDataFrame(rows, schema).repartition(4), "")
+    assert kept.columns == ["doc_id", "text", "row_0"]
+    assert sorted(r.row_0 for r in kept.collect()) == ["e", "f", "m", "n", "x", "z"]
+    assert pipeline.drop_near_copies(spark, spark.createDataFrame([], schema), "").count() == 0
