@@ -33,6 +33,8 @@ TRAIN_TOXIC, TRAIN_ORDINARY = 2000, 6000
 FOLDS = 3
 #: Bytes of a window, of the dictionary of one class and of the shared dictionary.
 WINDOW, CLASS_BYTES, SHARED_BYTES = 256, 4096, 112_000
+#: Bytes that the dictionary of a class has at least.
+LEAST_CLASS_BYTES = 1024
 #: Independent documents that must have a word before it goes into the dictionary of a class (fewer, down
 #: to two, if there are fewer than 20 times as many toxic documents).
 LEAST_DOCS = 6
@@ -136,15 +138,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+def _class_dictionary(own: Counter, other: Counter, least: int) -> bytes:
+    """Trained on the words that only this class says; filled up in front with those that it says most
+    against the other, so that a class without words of its own has a dictionary too."""
+    trained = _dictionary({w: n for w, n in own.items() if n >= least and w not in other}, CLASS_BYTES, 1000)
+    missing = LEAST_CLASS_BYTES - len(trained)
+    if missing <= 0:
+        return trained
+    typical = sorted((w for w in own if w in other), key=lambda w: ((own[w] + 0.5) / (other[w] + 0.5), w))
+    return (b"".join(typical)[-missing:] + trained).rjust(LEAST_CLASS_BYTES, b"\0")
+
+
 def _dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
     t, o = _word_counts(toxic), _word_counts(ordinary)
     least = max(2, min(LEAST_DOCS, len(toxic) // 20))
-    own = [_dictionary({w: n for w, n in a.items() if n >= least and w not in b}, CLASS_BYTES, 1000) for a, b in ((t, o), (o, t))]
+    own = [_class_dictionary(a, b, least) for a, b in ((t, o), (o, t))]
     both = _dictionary({w: n for w, n in o.items() if w in t}, SHARED_BYTES, 20)
-    # equal sizes, so that both are searched alike; the shorter is filled up in front, as a class
-    # without words of its own must not take away those of the other
-    size = max(map(len, own))
-    return ToxicityModel(own[0].rjust(size, b"\0") + both, own[1].rjust(size, b"\0") + both, [], [], [])
+    size = min(map(len, own))  # equal sizes: the same distances to the shared part
+    return ToxicityModel(own[0][len(own[0]) - size:] + both, own[1][len(own[1]) - size:] + both, [], [], [])
 
 
 def train(toxic: list[str], ordinary: list[str], share: float) -> ToxicityModel:
