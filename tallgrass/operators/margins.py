@@ -17,7 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallgrass.functions.vectors import block
@@ -74,15 +75,17 @@ def _sums(rows: DataFrame, planes: list[np.ndarray], width: float) -> list[dict[
                     [len(x), np.maximum(short, 0).sum(), rounded.sum(), (slope**2 * (y > 0)).sum(), (slope**2 * (y < 0)).sum()],
                     (slope * (y > 0)) @ x, (slope * (y < 0)) @ x, (x * x).sum(axis=0), (bent.T @ bent / width).ravel(),
                 ])
-        total = total.ravel()
-        i = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(total[i])], names=["i", "v"])
-
-    found = np.zeros(len(planes) * length)
-    for r in rows.mapInArrow(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-        found[r["i"]] = r["v"]
+        ends = np.arange(len(planes) + 1, dtype=np.int32) * length
+        sums = pa.ListArray.from_arrays(pa.array(ends), pa.array(total.ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(planes)), pa.int32()), sums], names=["at", "sums"])
+
+    # one row a plane comes back, as long as the curvature has entries
+    parts = rows.mapInArrow(partial, "at int, sums array<double>").select("at", array_to_vector("sums").alias("sums"))
+    found = np.zeros((len(planes), length))
+    for r in parts.groupBy("at").agg(Summarizer.sum(F.col("sums")).alias("sums")).collect():
+        found[r["at"]] = r["sums"].toArray()
     answers = []
-    for own in found.reshape(len(planes), length):
+    for own in found:
         head, positive, negative, squares, curve = np.split(own / max(own[0], 1.0), [5, 5 + size, 5 + 2 * size, 5 + 3 * size])
         answers.append({
             "hinge": head[1], "rounded": head[2], "squared": head[3:5], "positive": positive, "negative": negative,
