@@ -32,12 +32,15 @@ from tallgrass.plans.lineage import cut_lineage
 from tallgrass.plans.ordering import rank_in_group
 
 #: Bytes of text in a block; a single piece of text may pass it.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of text for each hash partition.
 PARTITION_BYTES = 8 << 20
 #: Bits of a key beyond those that number the occurrences.
 SPARE_BITS = 6
 
+#: Hash partitions that are added up together in the end.
+JOINED = 4
+
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
@@ -246,9 +249,11 @@ def _survivors(least: int):
 def _count_block(parts: int, bits: int, longest: int):
     """The texts of a block and its surviving keys to exact counts of the phrases with such keys.
 
-    A row holds the phrases of one language in one hash partition, one a line, and their counts.
+    A row holds the phrases of one language in a few neighbouring hash partitions, one a line, and
+    their counts: what survived is little, and longer rows compress better.
     """
-    bounds = _bounds(parts, bits)
+    bounds = _bounds(parts, bits)[JOINED - 1 :: JOINED]
+    parts = len(bounds) + 1
 
     def count(table: pa.Table) -> pa.Table:
         kinds = table.column("part").to_pylist()
