@@ -12,6 +12,7 @@ from tallgrass.catalog.registry import Tables, query
 from tallgrass.functions import vectors as vec
 from tallgrass.operators import models as ml
 from tallgrass.operators import series as se
+from tallgrass.operators import trees as tr
 from tallgrass.plans.lineage import cut_lineage
 from tallgrass.plans.splits import hash_split
 
@@ -116,9 +117,90 @@ def ml_linreg_residuals(t: Tables) -> DataFrame:
     return found.select(*_KEYS, "is_train", "label", F.round("prediction", 4).alias("prediction"), F.round("residual", 4).alias("residual"))
 
 
-@query("ml_tree_reg")
+DEPTH, BINS = 5, 32
+
+
+def _tree_sql(depth: int, bins: int) -> str:
+    """CTEs that grow a tree one level a step: split0 .. split{depth - 1}, and fitted (every row with node and p)."""
+    n = len(ml.RAIN_FEATURES)
+    limit = format(int(0.7 * 2**32), "08x")
+    ends = ", ".join(f"[{', '.join(f'{f}(x[{i}])' for i in range(1, n + 1))}] AS {name}" for name, f in (("lo", "min"), ("hi", "max")))
+    steps = [f"""
+rain AS (
+  SELECT "StationId", "Year_Rec", "Month_Rec", "PRCP"::DOUBLE AS y, [{", ".join(f'"{c}"::DOUBLE' for c in ml.RAIN_FEATURES)}] AS x,
+         substr(md5('11:' || "StationId" || '/' || "Year_Rec" || '/' || "Month_Rec"), 1, 8) < '{limit}' AS is_train
+  FROM learning WHERE {_WHOLE}
+), ends AS (SELECT {ends}, avg(y) AS mean, count(*) * var_pop(y) AS scatter FROM rain WHERE is_train
+), node0 AS (
+  SELECT rain.* EXCLUDE (x), y - mean AS z, 1 AS node, list_transform(x, lambda v, i: CASE WHEN hi[i] > lo[i]
+    THEN greatest(0, least({bins - 1}, floor((v - lo[i]) * {bins} / (hi[i] - lo[i]))))::INT ELSE 0 END) AS b
+  FROM rain, ends
+)"""]
+    for k in range(depth):
+        steps.append(f"""sums{k} AS (
+  SELECT node, f, b[f + 1] AS bin, count(*) AS n, sum(z) AS s FROM node{k}, range({n}) r(f)
+  WHERE is_train AND node >= {1 << k} GROUP BY ALL
+), sides{k} AS (
+  SELECT node, f, bin, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY node, f) AS nt, sum(s) OVER (PARTITION BY node, f) AS st
+  FROM sums{k} WINDOW w AS (PARTITION BY node, f ORDER BY bin)
+), split{k} AS (
+  SELECT * FROM (
+    SELECT node, f, bin, round((sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt) / scatter, 9) AS gain
+    FROM sides{k}, ends WHERE nl < nt AND scatter > 0
+  ) WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, bin) = 1
+), node{k + 1} AS (
+  SELECT t.* REPLACE (CASE WHEN p.node IS NULL THEN t.node WHEN b[p.f + 1] > p.bin THEN 2 * t.node + 1 ELSE 2 * t.node END AS node)
+  FROM node{k} t LEFT JOIN split{k} p ON t.node = p.node
+)""")
+    steps.append(f"""leaves AS (SELECT node, avg(z) AS p FROM node{depth} WHERE is_train GROUP BY node
+), fitted AS (SELECT t.*, p + mean AS p FROM node{depth} t JOIN leaves USING (node), ends
+), splits AS ({" UNION ALL ".join(f"SELECT * FROM split{k}" for k in range(depth))})""")
+    return ",\n".join(steps)
+
+
+def _grown(t: Tables) -> tuple[tr.Tree, DataFrame]:
+    rows = _split_rain(t)
+    return tr.grow_tree(rows.where("is_train"), len(ml.RAIN_FEATURES), DEPTH, BINS), rows
+
+
+@query("ml_tree_reg", f"""
+WITH {fx.LEARNING_SQL}, {_tree_sql(DEPTH, BINS)}, names AS (
+  {" UNION ALL ".join(f"SELECT {i} AS f, 'importance {c}' AS name" for i, c in enumerate(ml.RAIN_FEATURES))}
+)
+SELECT name, round(value, 6) AS value FROM (
+  SELECT name, coalesce(sum(gain) / (SELECT sum(gain) FROM splits), 0) AS value FROM names LEFT JOIN splits USING (f) GROUP BY name
+  UNION ALL {_ERROR_ROWS})
+""")
 def ml_tree_reg(t: Tables) -> DataFrame:
-    return ml.tree_regression(*_rain_split(t))
+    tree, rows = _grown(t)
+    found = {f"importance {n}": v for n, v in zip(ml.RAIN_FEATURES, tree.importances(), strict=True)}
+    scored = rows.select("is_train", "label", tree.prediction().alias("prediction"))
+    for side, where in (("train", "is_train"), ("test", "NOT is_train")):
+        errors = ml.regression_metrics(scored.where(where)).first()
+        found |= {f"{side} {m}": errors[m] for m in ("rmse", "r2")}
+    return ml.named_values(t.spark, found).withColumn("value", F.round("value", 6))
+
+
+@query("ml_tree_splits", f"""
+WITH {fx.LEARNING_SQL}, {_tree_sql(DEPTH, BINS)}
+SELECT node, list_extract({list(ml.RAIN_FEATURES)}, f::INT + 1) AS feature, bin,
+       round(lo[f + 1] + (bin + 1) * (hi[f + 1] - lo[f + 1]) / {BINS}, 6) AS threshold, round(gain, 6) AS gain
+FROM splits, ends
+""")
+def ml_tree_splits(t: Tables) -> DataFrame:
+    tree, _ = _grown(t)
+    rows = [(s.node, ml.RAIN_FEATURES[s.feature], s.bin, s.threshold, s.gain) for s in tree.splits.values()]
+    found = t.spark.createDataFrame(rows, "node int, feature string, bin int, threshold double, gain double")
+    return found.select("node", "feature", "bin", F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"))
+
+
+@query("ml_tree_predictions", f"""
+WITH {fx.LEARNING_SQL}, {_tree_sql(DEPTH, BINS)}
+SELECT "StationId", "Year_Rec", "Month_Rec", is_train, y AS label, node AS leaf, round(p, 4) AS prediction FROM fitted
+""")
+def ml_tree_predictions(t: Tables) -> DataFrame:
+    tree, rows = _grown(t)
+    return rows.select(*_KEYS, "is_train", "label", tree.leaf().alias("leaf"), F.round(tree.prediction(), 4).alias("prediction"))
 
 
 @query("ml_reg_metrics", f"""
@@ -156,8 +238,8 @@ SLOPE = "embedding[0] + embedding[1] / 2 + embedding[2] / 4 > 0"
 def ml_cv_error(t: Tables) -> DataFrame:
     rows = _labelled(t)
     total = rows.count()
-    train, validation = ml.cross_validation(rows, ["id"], [ml.logistic(1.0, total - total // 5)], 5)[0]
-    return ml.named_values(t.spark, {"train error": train, "validation error": validation})
+    train, validation, gradient = ml.cross_validation(rows, ["id"], [ml.logistic(1.0, total - total // 5)], 5)[0]
+    return ml.named_values(t.spark, {"train error": train, "validation error": validation, "gradient": gradient})
 
 
 @query("ml_logreg_grid")

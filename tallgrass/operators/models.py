@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,6 +27,8 @@ RAIN_FEATURES = ("TMAX", "TMIN", "SNWD", "ONE_YEAR_PRCP", "TWO_YEAR_PRCP", "FIVE
 
 # iterative fits end by the solver's tolerance; this many iterations only stop one that does not
 UNTIL_TOLERANCE = 10_000
+# relative change of the loss at which logistic fits end
+LOGISTIC_TOL = 1e-8
 
 
 def assemble(df: DataFrame, inputs: Sequence[str] = RAIN_FEATURES, label: str = "PRCP", keep: Sequence[str] = ()) -> DataFrame:
@@ -204,27 +206,48 @@ def _in_parallel(jobs: list[Callable[[], object]], threads: int) -> list:
         return pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs)
 
 
-def cross_validation(df: DataFrame, order: list[str], estimators: Sequence, folds: int, threads: int = 4) -> list[tuple[float, float]]:
-    """Mean training and validation error over contiguous folds, for each estimator."""
+def logistic_gradient(model: LogisticRegressionModel, rows: DataFrame, penalty: float) -> float:
+    """Largest partial derivative of the mean loss with ``penalty`` / 2 |W|^2 at the fitted weights.
+
+    Zero only at the optimum: the loss lies at most |gradient|^2 / (2 penalty) above it.  The products of
+    class residuals and features are summed in one aggregate.  No rows give 0.
+    """
+    classes, width = model.numClasses, model.numFeatures
+    shown = F.transform(vector_to_array("probability"), lambda p, c: p - (c == F.col("label").cast("int")).cast("double"))
+    both = F.concat(shown, vector_to_array("features"), F.array(F.lit(1.0)))
+    sums = np.zeros((classes + width + 1,) * 2)
+    for i, j, value in gram(model.transform(rows).select(both.alias("both")), "both", centred=False).collect():
+        sums[i, j] = value
+    # the last product is the constant with itself: the number of rows
+    if not sums[-1, -1]:
+        return 0.0
+    slope = sums[:classes, classes:] / sums[-1, -1]
+    slope[:, :width] += penalty * model.coefficientMatrix.toArray()
+    return float(np.abs(slope).max())
+
+
+def cross_validation(df: DataFrame, order: list[str], estimators: Sequence, folds: int, threads: int = 4) -> list[tuple[float, float, float]]:
+    """Mean training and validation error over contiguous folds, for each estimator, and the largest
+    gradient that a fit of it ended with."""
     rows = with_folds(df, order, folds).select("fold", "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
 
-    def errors(estimator, fold: int) -> tuple[float, float]:
+    def errors(estimator, fold: int) -> tuple[float, float, float]:
         inside, outside = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
         model = estimator.fit(inside)
-        return _error(model.transform(inside)), _error(model.transform(outside))
+        return _error(model.transform(inside)), _error(model.transform(outside)), logistic_gradient(model, inside, estimator.getRegParam())
 
     try:
         jobs = [lambda e=e, f=f: errors(e, f) for e in estimators for f in range(folds)]
-        found = np.asarray(_in_parallel(jobs, threads)).reshape(len(estimators), folds, 2)
+        found = np.asarray(_in_parallel(jobs, threads)).reshape(len(estimators), folds, 3)
     finally:
         rows.unpersist()
-    return [tuple(pair) for pair in found.mean(axis=1)]
+    return [(train, validation, worst) for (train, validation, _), worst in zip(found.mean(axis=1), found[:, :, 2].max(axis=1))]
 
 
 def logistic(strength: float, rows: int, iterations: int = UNTIL_TOLERANCE) -> LogisticRegression:
     """Logistic regression for a penalty ``strength`` on the summed loss; Spark averages the loss."""
     return LogisticRegression(
-        family="multinomial", regParam=strength / rows, elasticNetParam=0.0, standardization=False, maxIter=iterations
+        family="multinomial", regParam=strength / rows, elasticNetParam=0.0, standardization=False, maxIter=iterations, tol=LOGISTIC_TOL
     )
 
 
@@ -232,18 +255,27 @@ def logistic_grid(
     train: DataFrame, test: DataFrame, order: list[str], strengths: Sequence[float], folds: int = 5,
     iterations: int = UNTIL_TOLERANCE, threads: int = 4,
 ) -> DataFrame:
-    """Cross-validation and test error for each penalty strength."""
+    """Cross-validation and test error for each penalty strength, and the largest gradient of its fits."""
     rows = train.count()
     inside = rows - rows // folds
     errors = cross_validation(train, order, [logistic(s, inside, iterations) for s in strengths], folds, threads)
     kept = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def tested(strength: float) -> tuple[float, float]:
+        model = logistic(strength, rows, iterations).fit(kept)
+        return _error(model.transform(test)), logistic_gradient(model, kept, strength / rows)
+
     try:
-        jobs = [lambda s=s: _error(logistic(s, rows, iterations).fit(kept).transform(test)) for s in strengths]
-        tests = _in_parallel(jobs, threads)
+        tests = _in_parallel([lambda s=s: tested(s) for s in strengths], threads)
     finally:
         kept.unpersist()
-    table = [(float(s), float(a), float(b), float(c)) for s, (a, b), c in zip(strengths, errors, tests, strict=True)]
-    return train.sparkSession.createDataFrame(table, "strength double, train_error double, validation_error double, test_error double")
+    table = [
+        (float(s), float(a), float(b), float(c), float(max(inner, last)))
+        for s, (a, b, inner), (c, last) in zip(strengths, errors, tests, strict=True)
+    ]
+    return train.sparkSession.createDataFrame(
+        table, "strength double, train_error double, validation_error double, test_error double, gradient double"
+    )
 
 
 #: How far the value of a machine may lie above the optimum, in units of the mean hinge loss.

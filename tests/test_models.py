@@ -10,6 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from tallgrass.functions.vectors import linear_class
 from tallgrass.operators import models as ml
 from tallgrass.operators.margins import fit_machine
+from tallgrass.operators.trees import grow_tree
 
 
 def values(df):
@@ -109,6 +110,68 @@ def test_cross_validation_and_grid(spark):
     assert got[1e4]["train_error"] >= got[1e-2]["train_error"]
 
 
+def test_gradient_of_logistic_fits_equals_numpy_and_vanishes_at_the_optimum(spark):
+    df = blobs(spark)
+    x = np.array([r["features"].toArray() for r in df.collect()])
+    y = np.array([int(r["label"]) for r in df.collect()])
+    for iterations, bound in ((1, None), (ml.UNTIL_TOLERANCE, 1e-5)):
+        model = ml.logistic(0.5, len(y), iterations).fit(df)
+        score = x @ model.coefficientMatrix.toArray().T + model.interceptVector.toArray()
+        p = np.exp(score - score.max(axis=1, keepdims=True))
+        p = p / p.sum(axis=1, keepdims=True) - np.eye(2)[y]
+        slope = np.hstack([p.T @ x / len(y) + 0.5 / len(y) * model.coefficientMatrix.toArray(), p.mean(axis=0)[:, None]])
+        got = ml.logistic_gradient(model, df, 0.5 / len(y))
+        assert got == pytest.approx(np.abs(slope).max(), abs=1e-12)
+        assert bound is None or got < bound
+
+
+def best_split(x, y, edges):
+    """(gain, feature, bin) by trying every bin of every feature."""
+    found = []
+    for f in range(x.shape[1]):
+        for b in range(len(edges[f]) - 2):
+            left = x[:, f] < edges[f][b + 1]
+            if left.any() and not left.all():
+                gain = ((y - y.mean()) ** 2).sum() - sum(((s - s.mean()) ** 2).sum() for s in (y[left], y[~left]))
+                found.append((gain, -f, -b))
+    return max(found)
+
+
+def test_tree_splits_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    y = np.where(x[:, 1] > 0.3, 4.0, 1.0) + (x[:, 2] > 0) * x[:, 1] + rng.normal(size=300) * 0.1
+    tree = grow_tree(labelled(spark, x, y), 3, depth=3, bins=8)
+    edges = [np.linspace(c.min(), c.max(), 9) for c in x.T]
+    node = np.ones(300, int)
+    for n in sorted(tree.splits):
+        here, split = node == n, tree.splits[n]
+        gain, f, b = best_split(x[here], y[here], edges)
+        assert (split.feature, split.bin) == (-f, -b)
+        assert split.gain == pytest.approx(gain / ((y - y.mean()) ** 2).sum(), abs=1e-8)
+        node[here] = 2 * n + (x[here, split.feature] >= edges[split.feature][split.bin + 1])
+    got = labelled(spark, x, y).select("id", tree.leaf().alias("leaf"), tree.prediction().alias("p")).orderBy("id").collect()
+    assert [r["leaf"] for r in got] == node.tolist()
+    assert [r["p"] for r in got] == pytest.approx([y[node == n].mean() for n in node])
+    assert sum(tree.importances()) == pytest.approx(1) and tree.importances()[1] > 0.8
+
+
+def test_trees_of_awkward_tables(spark):
+    empty = labelled(spark, np.zeros((1, 2)), [1.0]).where("id < 0")
+    tree = grow_tree(empty, 2)
+    row = labelled(spark, np.zeros((1, 2)), [1.0])
+    assert not tree.splits and row.select(tree.prediction()).first()[0] is None and tree.importances() == [0.0, 0.0]
+    same = grow_tree(labelled(spark, np.ones((5, 2)), [1.0, 2, 3, 4, 5]), 2)
+    assert not same.splits and row.select(same.prediction()).first()[0] == 3
+    # ties go to the first feature; values beyond the ends fall into the end bins
+    two = grow_tree(labelled(spark, np.array([[0.0, 0], [1, 1]] * 3), [1.0, 5] * 3), 2, depth=2, bins=2)
+    assert [(s.feature, s.bin, s.threshold) for s in two.splits.values()] == [(0, 0, 0.5)]
+    far = labelled(spark, np.array([[-9.0, 0], [9, 0]]), [0.0, 0])
+    assert sorted(r[0] for r in far.select(two.prediction()).collect()) == [1, 5]
+    with pytest.raises(ValueError):
+        grow_tree(empty, 2, bins=1)
+
+
 def test_svm_tables(spark):
     train, validation = blobs(spark), blobs(spark, 5)
     linear = ml.linear_svm(train, validation, [0.01, 0.1]).orderBy("cost").collect()
