@@ -28,6 +28,8 @@ PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 BATCH_CHARS = 12_000_000
 #: Tree nodes held at once.
 NODES = 2_000_000
+#: Blocks of fewer pre-tokens are walked one by one with plain integers, larger ones as NumPy rows.
+FEW_ROWS = 48
 
 _NONE = np.iinfo(np.int64).max
 
@@ -79,6 +81,7 @@ class BytePairCodec:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
+        self._rank_of = dict(zip(self.keys[::-1].tolist(), self.ranks[::-1].tolist()))
         self.pretokens = regex.compile(PRETOKENS)
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # white space beside which the plain cut at blanks may not be right
@@ -112,7 +115,8 @@ class BytePairCodec:
             step = max(1, NODES >> (int(height) + 1))
             for i in range(0, len(members), step):
                 part = members[i:i + step]
-                flat, n = self._block(raw, ends[part], lengths[part], int(height))
+                work = self._block if len(part) >= FEW_ROWS else self._one_by_one
+                flat, n = work(raw, ends[part], lengths[part], int(height))
                 flats.append(flat)
                 count[part] = n
                 first[part] = held + np.cumsum(n) - n
@@ -160,6 +164,56 @@ class BytePairCodec:
             self._update(tree, rows[some], lead[some], self.rank(ids[rows[some], lead[some]], token[some]), leaves)
         return ids[live].astype(np.uint32), live.sum(axis=1)
 
+    def _one_by_one(self, raw: np.ndarray, begins: np.ndarray, lengths: np.ndarray, height: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``_block``, each pre-token by itself."""
+        done = [self._single(self.byte_ids[raw[b:b + n]], 1 << height) for b, n in zip(begins.tolist(), lengths.tolist())]
+        return np.concatenate(done), np.array([len(d) for d in done], np.int64)
+
+    def _single(self, start: np.ndarray, leaves: int) -> np.ndarray:
+        """Ids of one pre-token; the tree is a list, and a climb ends where nothing changes."""
+        none, size, merged, rank = int(_NONE), self.size, self.merged, self._rank_of
+        length = len(start)
+        pairs = self.rank(start[:-1], start[1:])
+        level = np.full(leaves, _NONE)
+        level[:length - 1] = np.where(pairs == _NONE, _NONE, pairs * leaves + np.arange(length - 1))
+        levels = [level]
+        while len(level) > 1:
+            level = np.minimum(level[::2], level[1::2])
+            levels.append(level)
+        tree = [none, *np.concatenate(levels[::-1]).tolist()]
+        ids = start.tolist()
+        after, before = list(range(1, length + 1)), list(range(-1, length - 1))
+
+        def put(at: int, found: int | None) -> None:
+            value = none if found is None else found * leaves + at
+            node = at + leaves
+            while tree[node] != value:
+                tree[node] = value
+                if node == 1:
+                    return
+                other = tree[node ^ 1]
+                value = other if other < value else value
+                node >>= 1
+
+        while tree[1] != none:
+            place, at = divmod(tree[1], leaves)
+            ids[at] = token = int(merged[place])
+            gone = after[at]
+            follow = after[at] = after[gone]
+            ids[gone] = -1
+            if follow < length:
+                before[follow] = at
+                put(at, rank.get(token * size + ids[follow]))
+            else:
+                put(at, None)
+            if gone < leaves:
+                put(gone, None)
+            lead = before[at]
+            if lead >= 0:
+                put(lead, rank.get(ids[lead] * size + token))
+        left = np.array(ids, np.int64)
+        return left[left >= 0].astype(np.uint32)
+
     @staticmethod
     def _update(tree: np.ndarray, rows: np.ndarray, at: np.ndarray, rank: np.ndarray, leaves: int) -> None:
         """Set leaves and climb to the root."""

@@ -6,8 +6,8 @@ drawn from is a bounded key (the first bytes, then the digest), so the driver ne
 texts; equal texts have equal keys, so the order still puts them side by side, and only the full
 comparison of the texts decides.
 
-Groups of copies that are too large for one task get a third key, a salt of the row id: the
-group is then cut over many tasks, each task hands on one row of it, and these few are compared
+Groups of copies that are too large for one task get a third key, a salt of the row id and the part
+of the input that the row comes from (ids may be null or repeat): the group is then cut over many tasks, each task hands on one row of it, and these few are compared
 in full once more.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallgrass.llm.names import free_names
 from tallgrass.plans.lineage import cut_lineage
 
 #: Copies of one text that one task may take without a salt; for tables of more than
@@ -43,7 +44,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalise_space(F.col(text_col)).alias("norm"))
-    rows = rows.withColumn("digest", F.sha2("norm", 256))
+    rows = rows.withColumn("digest", F.sha2("norm", 256)).withColumn("dealt", F.xxhash64("doc_id", F.spark_partition_id()))
 
     # how many rows share a digest, and the volume of the table
     counts = cut_lineage(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("norm")).alias("size")))
@@ -52,8 +53,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # fewer than HOT_TEXTS digests can have more than total / HOT_TEXTS rows each
     hot = counts.where(F.col("n") > limit).select("digest", F.ceil(F.col("n") / limit).alias("salts"))
     salted = rows.join(F.broadcast(hot), "digest", "left").withColumn(
-        "salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("doc_id"), "salts")).otherwise(F.lit(-1))
-    ).drop("salts")
+        "salt", F.when(F.col("salts").isNotNull(), F.pmod("dealt", "salts")).otherwise(F.lit(-1))
+    ).drop("salts", "dealt")
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(volume or 0) // PARTITION_BYTES))
     ranged = salted.withColumn("head", F.substring("norm", 1, KEY_CHARS)).repartitionByRange(parts, "head", "digest", "salt")
@@ -76,15 +77,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     # one row per salt of a large group
     heads = placed.where(F.col("norm").isNotNull()).select("digest", "norm", "salt", "first_id", "n")
-    groups = heads.groupBy("digest", "norm").agg(F.min("first_id").alias("keep_id"), F.sum("n").alias("group_size"))
-    members = heads.join(groups, ["digest", "norm"]).select("digest", "salt", "first_id", "keep_id", "group_size")
+    # rows that repeat the smallest id can lie under several salts: one of them stays
+    least = F.min(F.struct(F.col("first_id").isNull(), "first_id", "salt"))
+    groups = heads.groupBy("digest", "norm").agg(least.alias("least"), F.sum("n").alias("group_size")).select(
+        "digest", "norm", F.col("least.first_id").alias("keep_id"), F.col("least.salt").alias("keep_salt"), "group_size"
+    )
+    members = heads.join(groups, ["digest", "norm"]).select("digest", "salt", "first_id", "keep_id", "keep_salt", "group_size")
     warm = placed.where("salt >= 0").select("doc_id", "digest", "salt", "first_id", "place")
     warm = warm.join(
-        members.select("digest", "salt", F.col("first_id").alias("head_id"), "keep_id", "group_size"),
+        members.select("digest", "salt", F.col("first_id").alias("head_id"), "keep_id", "keep_salt", "group_size"),
         (warm["digest"] == members["digest"]) & (warm["salt"] == members["salt"]) & warm["first_id"].eqNullSafe(F.col("head_id")),
     ).select(
         warm["doc_id"], "keep_id", "group_size",
-        (F.col("place") == 1) & F.col("first_id").eqNullSafe(F.col("keep_id")), warm["digest"],
+        (F.col("place") == 1) & (warm["salt"] == F.col("keep_salt")), warm["digest"],
     )
     return cold.union(warm).toDF("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -92,10 +97,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat an id and a text one."""
     judged = cut_lineage(exact_duplicates(docs, id_col, text_col))
-    kept = judged.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    keyed = docs.withColumn("_sha", F.sha2(normalise_space(F.col(text_col)), 256))
-    out = keyed.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    sha, kept_id, kept_sha = free_names(docs, "sha", "kept_id", "kept_sha")
+    kept = judged.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    keyed = docs.withColumn(sha, F.sha2(normalise_space(F.col(text_col)), 256))
+    out = keyed.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
     # a dropped row that has the id of the row that stays: the id and the text occur twice
     if not judged.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
-        out = out.dropDuplicates([id_col, "_sha"])
-    return out.drop("_sha")
+        out = out.dropDuplicates([id_col, sha])
+    return out.drop(sha)

@@ -6,7 +6,7 @@ the length of the match by how far it can be followed from its root.  The langua
 fewest phrases per letter wins.
 
 The automaton is laid out as a table, with the restart at the root already written into the
-missing transitions, so that pieces of many documents advance together, one letter per step.
+missing transitions, so that many documents advance together, one letter per step.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from tallgrass.llm.bpe import text_slices
 UNDETERMINED = "und"
 #: Labelled documents and characters that a language's automaton is built over, at most.
 TRAIN_DOCS, TRAIN_CHARS = 64, 32_768
+#: Slices in which a long document's share of these characters is taken.
+SLICES = 4
 #: Letters that have a transition of their own; all others are one letter that no text has.
 LETTERS = 125
-#: Letters of a document that are parsed in one run; a longer document is parsed in several.
-RUN = 512
+#: Texts advance together while there are so many, the rest of longer ones is walked text by text.
+FEW_TEXTS = 32
 #: Characters of text parsed together.
 BATCH_CHARS = 2_000_000
 _SPACE, _OTHER = 0, 1
@@ -124,24 +126,32 @@ class CrossParser:
         begins = np.concatenate([[0], ends[:-1]])
         letters = np.add.reduceat(np.append(codes, 0) != _SPACE, np.minimum(begins, len(codes))) if len(codes) else np.zeros(len(texts), np.int64)
         letters = np.where(ends > begins, letters, 0)
-        runs = -(-(ends - begins) // RUN)
-        owner = np.repeat(np.arange(len(texts)), runs)
-        first = begins[owner] + RUN * (np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs))
-        size = np.minimum(ends[owner] - first, RUN)
+        size = ends - begins
         order = np.argsort(-size, kind="stable")  # the longest first: short ones drop out at the end
-        owner, first, size = owner[order], first[order], size[order]
-        live = np.searchsorted(-size, -np.arange(RUN), side="left")  # runs longer than the step
+        first, size = begins[order], size[order]
+        # the texts advance together, letter by letter, until only few of them go on
+        together = int(size[FEW_TEXTS - 1]) if len(size) >= FEW_TEXTS else 0
+        live = np.searchsorted(-size, -np.arange(together), side="left")  # texts longer than the step
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        columns = [codes[first[:n] + j].astype(np.int32) for j, n in enumerate(live) if n]
+        columns = [codes[first[:n] + j].astype(np.int32) for j, n in enumerate(live)]
         for k, table in enumerate(self.tables):
             state = np.full(len(first), len(table) // self.width - 1, np.int32)
-            count = np.zeros(len(first), np.int32)
+            count = np.zeros(len(first), np.int64)
             for column in columns:
                 n = len(column)
                 to = table[state[:n] * self.width + column]
                 count[:n] += to & 1
                 state[:n] = to >> 1
-            out[:, k] = np.bincount(owner, weights=count, minlength=len(texts))
+            steps, width = memoryview(table), self.width
+            for i in np.nonzero(size > together)[0].tolist():
+                # the rest of a long text, from the state it has reached
+                at, more = int(state[i]), 0
+                for code in codes[first[i] + together:first[i] + size[i]].tolist():
+                    to = steps[at * width + code]
+                    more += to & 1
+                    at = to >> 1
+                count[i] += more
+            out[order, k] = count
         return out, letters
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -157,18 +167,26 @@ class CrossParser:
 
 
 def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, str]:
-    """Text per language of at most TRAIN_DOCS documents and TRAIN_CHARS characters, chosen by a hash of the id."""
+    """Text per language of at most TRAIN_DOCS documents, chosen by a hash of the id, and TRAIN_CHARS characters.
+
+    Each chosen document has an equal share of the characters; from a longer text the share is
+    taken in SLICES slices, spread evenly over it.  Rows without text or language are left out; an
+    empty table gives no languages.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(lang_col).alias("lang"), F.substring(text_col, 1, TRAIN_CHARS).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("order"),
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("order"),
     )
     # the first rows of each language are taken in every task before they are shuffled
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
     chosen = rows.withColumn("place", place).where(F.col("place") <= TRAIN_DOCS)
-    before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    chosen = chosen.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < TRAIN_CHARS)
+    share = (F.lit(TRAIN_CHARS) / F.count(F.lit(1)).over(Window.partitionBy("lang"))).cast("int")
+    chosen = chosen.withColumn("share", share).withColumn("slice", (F.col("share") / SLICES).cast("int"))
+    starts = [(F.lit(1) + (F.length("text") - F.col("slice")) * i / (SLICES - 1)).cast("int") for i in range(SLICES)]
+    spread = F.concat_ws(" ", *[F.substr("text", start, F.col("slice")) for start in starts])
+    part = F.when(F.length("text") <= F.col("share"), F.col("text")).otherwise(spread)
     text: dict[str, str] = {}
-    for row in chosen.orderBy("lang", "place").select("lang", "text").collect():
-        text[row["lang"]] = (text.get(row["lang"], "") + " " + row["text"])[:TRAIN_CHARS]
+    for row in chosen.select("lang", "place", part.alias("text")).orderBy("lang", "place").collect():
+        text[row["lang"]] = (text[row["lang"]] + " " if row["lang"] in text else "") + row["text"]
     return text
 
 

@@ -193,7 +193,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     chosen = {y: rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, TRAIN_TOXIC), (0, TRAIN_ORDINARY))}
     # ten thousand pairs of numbers at most
     picked = F.broadcast(chosen[1].union(chosen[0]))
-    texts = docs.where(F.length(text_col) > 0).join(picked, F.col(id_col).cast("long") == F.col("_id")).select("_id", "_y", F.col(text_col).alias("_text"))
+    texts = docs.where(F.length(text_col) > 0).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
     sample = sorted(((zlib.crc32(str(r["_id"]).encode()), r["_id"], r["_text"], r["_y"]) for r in texts.collect()))
     by_label = {y: list(dict.fromkeys(text for _, _, text, label in sample if label == y)) for y in (0, 1)}
     positive, total = rows.agg(F.sum(F.col("_y").cast("double")), F.count(F.lit(1))).first()

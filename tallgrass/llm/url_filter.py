@@ -1,10 +1,12 @@
 """URL verdicts by rules, and by a tree of path templates where no rule speaks; DataFrame functions only.
 
-Segments that hold numbers are variable by themselves.  Below a node of a host's tree that has
-many children for its rows, the remaining segments become a wildcard too.  Sibling templates
-whose share of blocked labels does not differ significantly are merged, and a template is
-rejected if its smoothed share of blocked labels is high.  The labels are the urls that the
-rules decide.
+Segments that hold numbers are variable by themselves.  The tree of a host is generalised from the
+root down: at each node, children that hold a fair share of its urls stay as they are, and the
+others, if there are several, become one wildcard, whose subtrees are put together before the
+next level is looked at.  Sibling templates whose share of blocked labels does not differ
+significantly are merged, and a template is rejected if its smoothed share of blocked labels is
+high.  The labels are the urls that the rules decide.  All counts are of different paths of a host, so rows
+that repeat a url change no verdict.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
 
-#: A node whose children are at least so many, and at least this share of its rows, gets a wildcard.
-CHILDREN, CHILD_SHARE = 8, 0.2
-#: Labels that a branch needs to be merged, and differences (in standard errors) that keep branches apart.
-MERGE_LABELS, MERGE_Z = 5, 1.96
+#: Children with less than this share of their node's urls become a wildcard, if they are at least so many.
+RARE_SHARE, CHILDREN = 0.05, 8
+#: Differences of purity (in standard errors) that keep sibling branches apart.
+MERGE_Z = 1.96
 #: A template is rejected if (blocked + 1) / (labelled + 2) reaches this.
 REJECT_PURITY = 0.9
 
@@ -52,43 +54,62 @@ def shape_of(path: Column) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """Template of every (host, shape); ``shapes`` has host, shape, n, labelled and blocked, one row each.
 
-    Returns these columns and template.
+    Returns these columns and template.  A step generalises one level; the steps end when no
+    node has CHILDREN shapes or more below it, as only such a node can get a wildcard.  A node has
+    at most 1 / RARE_SHARE + CHILDREN children in the end.  An empty table gives no rows.
     """
-    split = shapes.select("*", F.split("shape", "/").alias("parts"))
-    nodes = split.select(
-        "host", "shape", "n", F.posexplode("parts").alias("pos", "part"), "parts"
-    ).select("host", "shape", "n", "pos", "part", F.array_join(F.slice("parts", F.lit(1), F.col("pos")), "/").alias("prefix"))
-    # rows by child first, so that a host with most of the rows is summed in every task
-    children = nodes.groupBy("host", "pos", "prefix", "part").agg(F.sum("n").alias("n"))
-    wild = children.groupBy("host", "pos", "prefix").agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("rows")).where(
-        (F.col("children") >= CHILDREN) & (F.col("children") >= CHILD_SHARE * F.col("rows"))
-    ).select("host", "pos", "prefix", F.lit(True).alias("wild"))
-    placed = nodes.join(wild, ["host", "pos", "prefix"], "left").withColumn(
-        "part", F.when(F.coalesce("wild", F.lit(False)), F.lit("*")).otherwise(F.col("part"))
+    state = shapes.select(
+        "*", F.lit("").alias("node"), F.split("shape", "/").alias("rest"), F.lit(True).alias("open")
     )
-    named = placed.groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("pos", "part"))).alias("parts"))
-    named = named.select("host", "shape", F.array_join(F.transform("parts", lambda p: p["part"]), "/").alias("template"))
-    return shapes.join(named, ["host", "shape"])
+    first = True
+    while True:
+        here = state.withColumn("part", F.when(F.col("open"), F.element_at("rest", 1)))
+        # urls by child first, so that a host with most of the urls is summed in every task
+        children = cut_lineage(here.where("open").groupBy("host", "node", "part").agg(F.sum("n").alias("n")))
+        whole = children.groupBy("host", "node").agg(F.sum("n").alias("whole"))
+        rare = children.join(whole, ["host", "node"]).where(F.col("n") < RARE_SHARE * F.col("whole")).select("host", "node", "part")
+        many = rare.groupBy("host", "node").agg(F.count(F.lit(1)).alias("rare")).where(F.col("rare") >= CHILDREN).drop("rare")
+        wild = rare.join(many, ["host", "node"]).withColumn("wild", F.lit(True))
+        part = F.when(F.coalesce("wild", F.lit(False)), F.lit("*")).otherwise(F.col("part"))
+        longer = part if first else F.concat("node", F.lit("/"), part)
+        moved = here.join(wild, ["host", "node", "part"], "left").select(
+            *shapes.columns,
+            F.when(F.col("open"), longer).otherwise(F.col("node")).alias("node"),
+            F.when(F.col("open"), F.slice("rest", F.lit(2), F.greatest(F.size("rest") - 1, F.lit(0)))).otherwise(F.col("rest")).alias("rest"),
+            "open",
+        )
+        # equal nodes only compare among shapes that are still open and go on
+        going = F.col("open") & (F.size("rest") > 0)
+        wide = moved.where(going).groupBy("host", "node").agg(F.count(F.lit(1)).alias("below")).where(F.col("below") >= CHILDREN)
+        marked = moved.join(wide.select("host", "node", F.lit(True).alias("wide")), ["host", "node"], "left")
+        state = cut_lineage(marked.withColumn("open", going & F.coalesce("wide", F.lit(False))).drop("wide"))
+        first = False
+        if state.where("open").isEmpty():
+            break
+    whole = F.when(F.size("rest") > 0, F.concat("node", F.lit("/"), F.array_join("rest", "/"))).otherwise(F.col("node"))
+    return state.select(*shapes.columns, whole.alias("template"))
 
 
 def judged_templates(known: DataFrame) -> DataFrame:
-    """(host, template, reject) after merging similar siblings; ``known`` has host, template, labelled, blocked."""
+    """(host, template, reject) of templates with labels, after merging similar siblings.
+
+    ``known`` has host, template, labelled and blocked.  Siblings are put in order of their purity; two
+    next to each other are merged unless they differ significantly, also those with few labels.
+    """
     leaf = known.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    leaf = leaf.withColumn("parent", F.regexp_replace("template", "[^/]*$", "")).withColumn(
+    leaf = leaf.where("labelled > 0").withColumn("parent", F.regexp_replace("template", "[^/]*$", "")).withColumn(
         "rate", (F.col("blocked") + 1) / (F.col("labelled") + 2)
     )
-    firm = leaf.where(F.col("labelled") >= MERGE_LABELS)
+    # (a node has a bounded number of children, see templates)
     order = Window.partitionBy("host", "parent").orderBy("rate", "template")
     n, m = F.col("labelled"), F.lag("labelled").over(order)
-    pooled = (F.col("blocked") + F.lag("blocked").over(order)) / (n + m)
+    pooled = (F.col("blocked") + F.lag("blocked").over(order) + 1) / (n + m + 2)
     error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
     apart = F.coalesce((F.col("rate") - F.lag("rate").over(order)) > MERGE_Z * error, F.lit(True))
-    firm = firm.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(order))
-    whole = firm.groupBy("host", "parent", "branch").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
-    firm = firm.join(whole, ["host", "parent", "branch"]).select("host", "template", "all_labelled", "all_blocked")
-    few = leaf.where(F.col("labelled") < MERGE_LABELS).select("host", "template", "labelled", "blocked")
-    return firm.union(few).toDF("host", "template", "labelled", "blocked").select(
-        "host", "template", ((F.col("blocked") + 1) / (F.col("labelled") + 2) >= REJECT_PURITY).alias("reject")
+    leaf = leaf.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(order))
+    whole = leaf.groupBy("host", "parent", "branch").agg(F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
+    return leaf.join(whole, ["host", "parent", "branch"]).select(
+        "host", "template", ((F.col("all_blocked") + 1) / (F.col("all_labelled") + 2) >= REJECT_PURITY).alias("reject")
     )
 
 
@@ -109,7 +130,8 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id",
     for rule, verdict in rules.items():
         said = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(said)
     rows = rows.withColumn("said", said).withColumn("shape", shape_of(F.col("path")))
-    counts = rows.groupBy("host", "shape").agg(
+    urls = rows.select("host", "path", "shape", "said").distinct()
+    counts = urls.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("said").alias("labelled"), F.count_if(F.col("said") == "block").alias("blocked")
     )
     known = cut_lineage(templates(cut_lineage(counts)))
