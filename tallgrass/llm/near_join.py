@@ -33,6 +33,10 @@ BATCH_CHARS = 1_500_000
 BAND_POWER = 2
 #: Sets of one signature that are compared with each other in one step.
 BLOCK = 128
+#: A signature with so many sets in one run of documents is dealt over PARTS more parts.
+MANY_SETS, PARTS = 8, 64
+#: Words of sketches that are compared at once.
+COMPARED_WORDS = 1 << 21
 #: Ids that may be broadcast to pick the documents whose sets are compared (a long each).
 BROADCAST_IDS = 2_000_000
 #: Edges whose components one task works out before tasks are joined.
@@ -157,6 +161,52 @@ def _profiles(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
+def _deal(sig: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """Different (sig, key) of a run of documents, and the part of the signature each row goes to.
+
+    Part 0 has all that may be alone.  Of a signature with many sets in this run only the first goes
+    there; all of its sets are known to have company and are dealt over the other parts.
+    """
+    order = np.lexsort((key, sig))
+    sig, key = sig[order], key[order]
+    fresh = np.append(True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]))[:len(sig)]
+    sig, key = sig[fresh], key[fresh]
+    begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])[:len(sig)])
+    sizes = np.diff(np.append(begins, len(sig)))
+    many = np.repeat(sizes >= MANY_SETS, sizes)
+    alone = ~many
+    alone[begins] = True
+    part = np.concatenate([np.zeros(int(alone.sum()), np.int32), 1 + (mix(key[many].view(np.uint64)) % _U(PARTS)).astype(np.int32)])
+    sig, key = np.concatenate([sig[alone], sig[many]]), np.concatenate([key[alone], key[many]])
+    return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(key), pa.array(part)], ["sig", "key", "part"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The (sig, key) of signatures with several sets, from rows in order of sig, part and key."""
+    held = (0, 0, False, False)  # the last row, if there is one, and whether it has gone out
+    for batch in batches:
+        sig, key, part = (batch.column(c).to_numpy() for c in ("sig", "key", "part"))
+        sure = part > 0
+        if held[2]:
+            sig, key, sure = np.append(held[0], sig), np.append(held[1], key), np.append(held[3], sure)
+        elif not len(sig):
+            continue
+        # (parts of one signature in one task are one run, and its set of part 0 has company then)
+        other = (sig[1:] == sig[:-1]) & (key[1:] != key[:-1])
+        same = (sig[1:] == sig[:-1]) & (key[1:] == key[:-1])
+        joined = sure | np.append(False, other) | np.append(other, False)
+        # equal rows share what is known of one of them
+        run = np.cumsum(np.append(True, ~same)) - 1
+        joined = np.bincount(run, weights=joined, minlength=run[-1] + 1)[run] > 0
+        # the last row waits for what follows
+        out = joined.copy()
+        out[-1] = False
+        yield pa.RecordBatch.from_arrays([pa.array(sig[out]), pa.array(key[out])], ["sig", "key"])
+        held = (sig[-1], key[-1], True, bool(joined[-1]))
+    if held[2] and held[3]:
+        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], ["sig", "key"])
+
+
 def linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity num / den; ``sets`` has key and elements (binary).
 
@@ -252,6 +302,37 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def _meeting(left: pa.StructArray, right: pa.StructArray, num: int, den: int, thorough: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (a < b) of the pairs of two blocks of members that _cross_pairs asks for."""
+    x, y = ({c: block.field(c).to_numpy(zero_copy_only=False) for c in ("key", "component", "n", "central")} for block in (left, right))
+    size = np.minimum(x["n"][:, None], y["n"][None, :]) * den >= np.maximum(x["n"][:, None], y["n"][None, :]) * num
+    apart = (x["component"][:, None] != y["component"][None, :]) & ~x["central"][:, None] & ~y["central"][None, :]
+    i, j = np.nonzero(apart & size)
+    sketches = [[np.frombuffer(raw, np.uint64) for raw in block.field("sketch").to_pylist()] for block in (left, right)]
+    words = [np.array([len(s) for s in side]) for side in sketches]
+    keep = np.zeros(len(i), bool)
+    # pairs of equal sketch lengths together, the longer sketches folded to the shorter ones
+    for w in np.unique(np.minimum(words[0][i], words[1][j])):
+        chosen = np.flatnonzero(np.minimum(words[0][i], words[1][j]) == w)
+        sides = []
+        for side, at in ((0, i[chosen]), (1, j[chosen])):
+            rows, place = np.unique(at, return_inverse=True)
+            sides.append((np.array([fold_sketch(sketches[side][r], w) for r in rows]), place))
+        (one, p), (two, q) = sides
+        step = max(1, COMPARED_WORDS // int(w))
+        for k in range(0, len(chosen), step):
+            differ = np.bitwise_count(one[p[k:k + step]] ^ two[q[k:k + step]]).sum(axis=1, dtype=np.int64)
+            part = chosen[k:k + step]
+            keep[part] = differ * (den + num) <= (x["n"][i[part]] + y["n"][j[part]]) * (den - num)
+    i, j = i[keep], j[keep]
+    if not thorough:
+        low, high = np.minimum(x["component"][i], y["component"][j]), np.maximum(x["component"][i], y["component"][j])
+        order = np.lexsort((high, low))
+        new = np.append(True, (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0))[:len(order)]
+        i, j = i[order[new]], j[order[new]]
+    return np.minimum(x["key"][i], y["key"][j]), np.maximum(x["key"][i], y["key"][j])
+
+
 def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> DataFrame:
     """Pairs (a < b) of different components under one signature that may link; ``members`` has sig, key, central, component, n, sketch.
 
@@ -268,20 +349,9 @@ def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: set[tuple] = set()
-            tried: set[tuple] = set()
-            for left_rows, right_rows in zip(batch.column("left"), batch.column("right")):
-                right_rows = right_rows.as_py()
-                for x in left_rows.as_py():
-                    for y in right_rows:
-                        two = (min(x["component"], y["component"]), max(x["component"], y["component"]))
-                        if two[0] == two[1] or x["central"] or y["central"] or two in tried:
-                            continue
-                        if _may_link(x["sketch"], x["n"], y["sketch"], y["n"], num, den):
-                            if not thorough:
-                                tried.add(two)
-                            found.add((min(x["key"], y["key"]), max(x["key"], y["key"])))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+            found = [_meeting(left.values, right.values, num, den, thorough) for left, right in zip(batch.column("left"), batch.column("right"))]
+            a, b = (np.concatenate([np.zeros(0, np.int64), *[f[i] for f in found]]) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return met.mapInArrow(run, "a long, b long").distinct()
 
@@ -317,12 +387,12 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
     def sign(ids: pa.Array, sets: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         # (bands depend on sizes alone, so every task has the same)
         signature, owner = PartEnum(num, den).signatures(sets, count)
-        return pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(_keys(sets, count, seed)[owner])], ["sig", "key"])
+        return _deal(signature.view(np.int64), _keys(sets, count, seed)[owner])
 
-    signed = cut_lineage(_sets(rows, width, sign, "sig long, key long"))
-    # most signatures belong to one set and end here
-    shared = signed.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select("sig")
-    members = cut_lineage(signed.join(shared, "sig").distinct())
+    # dealt once by signature; most signatures belong to one set and end in the task that sorts them
+    signed = _sets(rows, width, sign, "sig long, key long, part int")
+    dealt = signed.repartition("sig", "part").sortWithinPartitions("sig", "part", "key")
+    members = cut_lineage(dealt.mapInArrow(_shared, "sig long, key long").distinct())
     # the set that meets most others is the likeliest centre of its group: it stands for the signature
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     degree = members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("degree"))
