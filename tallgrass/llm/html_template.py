@@ -1,23 +1,32 @@
 """Main text of web pages by template deduction over the pages of a host.
 
-Every page is cut into tokens: its structural elements, each with the path of elements that holds
-it, and its text blocks.  Tokens that occur equally often in each page of a host have the same
-occurrence vector; such an equivalence class that most pages of the host have, and whose elements
-nest, belongs to the template.  Vectors are compared by a commutative hash, the sum of a hash of
-the page times the occurrences, so no list of pages is gathered for any token.
-
-Between template tokens lie slots.  A slot inside menus, headers, footers, sidebars, notices,
-adverts, forms or comments (by element, class, id or role) is no main text; of the others, the
-slots below an article or main element are taken, or else those of the element that holds most of
-the host's text.  Text blocks outside an article that are the same in most pages of a host are
-template text and not taken.
+A page is a sequence of tokens: its structural elements, each with the path of elements that holds
+it, and its text blocks with their paths.  Tokens that occur equally often in each page of a host have
+the same occurrence vector; vectors are compared by a commutative hash, the sum of a hash of the
+page and the occurrences, so no list of pages is gathered for any token.  Pages with equal html
+count once.  The tokens of one vector that most pages of the host have are an equivalence class.  A class is
+valid if its tokens come in one order on all pages and its occurrences nest with those of the
+other classes: of two that cross, the one with fewer tokens is not valid.
+
+The valid classes are the template; their texts are no main text (an article or main element is content, its
+texts are no tokens).  What remains lies in slots,
+told apart by the template element around a block and the template token before it.  Slots
+inside menus, headers, footers, sidebars, notices, adverts, forms or comments (by element, class, id
+or role) are left out.  Of the others, those that hold an article or main element are taken, or else
+those of the template element that holds most of the host's text outside of links.
+
+A host with fewer than ``TEMPLATE_PAGES`` different pages has no template: nothing tells its repeated
+tokens from chance.  Its pages are read in their article or main element, or else wherever
+they are not marked as something else.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -46,12 +55,12 @@ ASIDE_NAMES = frozenset(
     "newsletter subscribe subscription signup login form share sharing social comment comments disqus reply replies discussion related "
     "recommended recommendations widget pagination pager toolbar copyright skip".split()
 )
-#: Shares of a host's pages that a template token must be in, and pages from which template text is deduced.
-TEMPLATE_SHARE, TEXT_SHARE, TEXT_PAGES = 0.5, 0.6, 8
+#: Share of a host's different pages that a template token must be in, and the number of pages a host must have for that.
+TEMPLATE_SHARE, TEMPLATE_PAGES = 0.6, 8
+#: Steps of a path; elements deeper inside have the path of the last step, their texts stay whole.
+DEPTH = 512
 #: Bytes of templates that may be broadcast; more are joined by host.
 BROADCAST_BYTES = 16 << 20
-#: Seed of the hash of a page.
-_PAGE_SEED = 7
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
@@ -59,6 +68,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d{3,}")
 
 
 def _step(tag: str, attributes: str) -> tuple[str, bool]:
@@ -68,7 +78,8 @@ def _step(tag: str, attributes: str) -> tuple[str, bool]:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id") and value:
-                name += ("." if key == "class" else "#") + " ".join(value.split())
+                # long numbers in names are those of the page
+                name += ("." if key == "class" else "#") + _DIGITS.sub("0", " ".join(value.split()))
                 words = re.split(r"[\s_\-]+", value)
                 aside |= any(w in ASIDE_NAMES or _NAME.match(w) is not None and _NAME.match(w)[0] in ASIDE_NAMES and w[len(_NAME.match(w)[0]):].isdigit() for w in words)
             elif key == "role":
@@ -78,10 +89,9 @@ def _step(tag: str, attributes: str) -> tuple[str, bool]:
     return name, aside
 
 
-def blocks_of(page: str) -> tuple[list[tuple[str, bool, str, int]], dict[str, int]]:
-    """Text blocks (path, aside, text, characters in links) in page order, and how often each path opens."""
-    out: list[tuple[str, bool, str, int]] = []
-    opened: dict[str, int] = {}
+def events_of(page: str) -> list[tuple[str, bool, str | None, int]]:
+    """Elements and text blocks in page order: path, aside, text (none: the element opens), characters in links."""
+    out: list[tuple[str, bool, str | None, int]] = []
     stack: list[tuple[str, str, bool]] = []  # element, path, aside
     text: list[str] = []
     state = ["", False]
@@ -149,118 +159,219 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str, int]], dict[str, in
                     break
         else:
             name, aside = _step(tag, token[3])
-            path = (stack[-1][1] + ">" if stack else "") + name
+            if len(stack) < DEPTH:
+                path = (stack[-1][1] + ">" if stack else "") + name
+            else:
+                path = stack[-1][1]
             stack.append((tag, path, aside or bool(stack) and stack[-1][2]))
-            opened[path] = opened.get(path, 0) + 1
+            out.append((path, stack[-1][2], None, 0))
         state[0], state[1] = (stack[-1][1], stack[-1][2]) if stack else ("", False)
     close()
-    return out, opened
+    return out
 
 
+@lru_cache(maxsize=4096)
 def _is_article(path: str) -> bool:
     return any(re.match(r"(article|main)\b|\w+[.#].*\b(article|main)\b", step) for step in path.split(">"))
 
 
+def _token(path: str, text: str | None = None) -> int:
+    """Signed 64-bit hash of an element's path, or of a text block with its path."""
+    value = xxhash.xxh3_64_intdigest((path if text is None else f"{path}\n{text}").encode("utf-8", "replace"))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _is_token(path: str, aside: bool, text: str | None) -> bool:
+    """Elements are tokens, and texts that are neither marked as something else nor in an article."""
+    return text is None or not aside and not _is_article(path)
+
+
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of all pages, summed for each run of pages: host, kind, token, vector hash, pages, occurrences, characters."""
-    schema = "host string, kind string, token string, vector long, pages long, times long, chars long, links long"
+    """How often each token occurs in each page: host, token, page_key and times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            summed: dict[tuple, list[int]] = {}
+            rows: list[tuple[int, int, int, int]] = []
             for host, key, page in zip(batch.column("host").to_pylist(), batch.column("page_key").to_pylist(), batch.column("html")):
-                blocks, opened = blocks_of(page.as_py() or "")
-                here: dict[tuple, list[int]] = {(host, "element", path): [n, 0, 0] for path, n in opened.items()}
-                for path, aside, text, linked in blocks:
-                    if not aside:
-                        slot = here.setdefault((host, "slot", path), [0, 0, 0])
-                        slot[0] += 1
-                        slot[1] += len(text)
-                        slot[2] += min(linked, len(text))
-                        if not _is_article(path):
-                            digest = path + "\n" + xxhash.xxh3_128_hexdigest(text.encode("utf-8", "replace"))
-                            here.setdefault((host, "text", digest), [0, len(text), 0])[0] += 1
-                for token, (times, chars, links) in here.items():
-                    total = summed.setdefault(token, [0] * 5)
-                    total[0] = total[0] + xxhash.xxh3_64_intdigest(times.to_bytes(8, "little"), key & (1 << 64) - 1) & (1 << 64) - 1
-                    for j, value in enumerate((1, times, chars, links)):
-                        total[j + 1] += value
-            rows = [(*k, v[0] - (1 << 64) if v[0] >> 63 else v[0], *v[1:]) for k, v in summed.items()]
-            columns = list(zip(*rows)) or [()] * 8
-            kinds = [pa.string()] * 3 + [pa.int64()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [f.split()[0] for f in schema.split(", ")])
-
-    return pages.mapInArrow(run, schema)
+                here = Counter(_token(*e[:3:2]) for e in events_of(page.as_py()) if _is_token(*e[:3]))
+                rows += [(host, token, key, times) for token, times in here.items()]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["host", "token", "page_key", "times"])
 
+    return pages.mapInArrow(run, "host long, token long, page_key long, times long")
 
-def host_templates(pages: DataFrame) -> DataFrame:
-    """One row per host: main (paths of its main slots) and fixed (template text, as path and digest).
 
-    ``pages`` has host, page_key (a hash of the page) and html.
+def token_classes(pages: DataFrame) -> DataFrame:
+    """Tokens that most pages of their host have: host, token and class, the hash of the occurrence vector.
+
+    ``pages`` has host, page_key (a hash of the html) and html (not null).  Pages with equal html count once.
     """
-    # sums modulo 2 ** 64 of the tokens of one host
-    summed = cut_lineage(_tokens(pages).groupBy("host", "kind", "token").agg(
-        F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"),
-        *[F.sum(c).alias(c) for c in ("pages", "times", "chars", "links")],
-    ))
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    # equivalence classes: tokens with one vector; those of most pages are the template
-    classes = summed.where("kind = 'element'").groupBy("host", "vector", "pages", "times").agg(F.collect_set("token").alias("tokens"))
-    framed = classes.join(sizes, "host").where(F.col("pages") >= TEMPLATE_SHARE * F.col("host_pages"))
-    # (paths hold their parents, and a parent is in every page that has its child: classes nest)
-    frame = framed.select("host", F.explode("tokens").alias("path")).groupBy("host").agg(F.collect_set("path").alias("frame"))
-    slots = summed.where("kind = 'slot'").select("host", F.col("token").alias("path"), "pages", "chars", "links")
-    slots = slots.join(frame, "host", "left").where(F.expr("frame is not null and (path = '' or array_contains(frame, path))")).drop("frame")
-
-    def choose(path: list[str], chars: list[int], links: list[int]) -> list[str]:
-        found = {p: (c, k) for p, c, k in zip(path, chars, links) if c > 0}
-        articles = [p for p in found if _is_article(p)]
-        if articles:
-            return sorted(articles)
-        # the element whose own text, not in links, is most; with the slots inside it
-        best = max(found, key=lambda p: (found[p][0] - 2 * found[p][1], p), default=None)
-        return sorted(p for p in found if p == best or p.startswith(f"{best}>")) if best is not None else []
-
-    main = slots.groupBy("host").agg(F.collect_list("path").alias("path"), F.collect_list("chars").alias("chars"), F.collect_list("links").alias("links"))
-    main = main.select("host", F.udf(choose, "array<string>")("path", "chars", "links").alias("main"))
-    text = summed.where("kind = 'text'").join(sizes, "host").where(
-        (F.col("host_pages") >= TEXT_PAGES) & (F.col("pages") >= TEXT_SHARE * F.col("host_pages"))
+    once = _tokens(pages).groupBy("host", "token", "page_key").agg(F.max("times").alias("times"))
+    # sums modulo 2 ** 64; 20 digits hold any sum of 10 ** 19 pages
+    vectors = once.groupBy("host", "token").agg(
+        F.sum(F.xxhash64("page_key", "times").cast("decimal(20,0)")).alias("vector"), F.count(F.lit(1)).alias("pages")
     )
-    fixed = text.groupBy("host").agg(F.collect_set("token").alias("fixed"))
-    return main.join(fixed, "host", "left")
+    sizes = pages.select("host", "page_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    often = vectors.join(sizes.where(F.col("host_pages") >= TEMPLATE_PAGES), "host").where(F.col("pages") >= TEMPLATE_SHARE * F.col("host_pages"))
+    return often.select("host", "token", F.xxhash64("vector", "pages").alias("class"))
 
 
-def main_text(page: str, main: list[str] | None, fixed: list[str] | None) -> str:
-    """Blocks of a page in the main slots, joined by line feeds.
+def class_orders(tokens: list[int], classes: dict[int, int]) -> tuple[dict[int, int], set[int]]:
+    """Hash of each class's order on one page, and the classes that are not valid there.
 
-    A page that has an article or main element is read there, whatever the template says; one that
-    has none of the template's main slots, wherever it is not marked as something else.
+    ``classes`` has the class of each token.  The tokens of a class must come as one sequence, once or
+    repeated; a sequence may hold whole sequences of other classes, but none that begins before or ends after it.
+    """
+    size = Counter(classes.values())
+    found: dict[int, list[int]] = {}
+    faulty: set[int] = set()
+    begun: list[int] = []  # classes whose sequence is not complete, the innermost last
+    left: dict[int, int] = {}
+    for token in tokens:
+        kind = classes.get(token)
+        if kind is None:
+            continue
+        found.setdefault(kind, []).append(token)
+        if kind in faulty:
+            continue
+        if kind not in left:
+            begun.append(kind)
+            left[kind] = size[kind]
+        while begun[-1] != kind:
+            # the innermost crosses this one
+            least = min(begun[-1], kind, key=lambda c: (size[c], c))
+            faulty.add(least)
+            begun.remove(least)
+            del left[least]
+            if least == kind:
+                break
+        else:
+            left[kind] -= 1
+            if not left[kind]:
+                begun.pop()
+                del left[kind]
+    orders = {}
+    for kind, seen in found.items():
+        cycle = seen[: size[kind]]
+        if len(set(cycle)) < size[kind] or len(seen) % len(cycle) or cycle * (len(seen) // len(cycle)) != seen:
+            faulty.add(kind)
+        orders[kind] = _token("", " ".join(map(str, cycle)))
+    return orders, faulty
+
+
+def slots_of(events: list[tuple[str, bool, str | None, int]], template: Collection[int]) -> Iterator[tuple[int, str, str, str, int, int | None]]:
+    """Text blocks not marked as something else: slot, template element around it, path, text, characters in links, token."""
+    around: dict[str, str] = {"": ""}
+
+    def element(path: str) -> str:
+        holder = path
+        while holder not in around and _token(holder) not in template:
+            holder = holder.rpartition(">")[0]
+        around[path] = around.get(holder, holder)
+        return around[path]
+
+    before = 0
+    for path, aside, text, linked in events:
+        token = _token(path, text) if _is_token(path, aside, text) else None
+        if text is not None and not aside:
+            holder = element(path)
+            yield _token(holder, str(before)), holder, path, text, min(linked, len(text)), token
+        if token in template:
+            before = token
+
+
+def _evidence(joined: DataFrame) -> DataFrame:
+    """Summed for each run of pages: the order of each class (kind 0) and the text of each slot (kind 1)."""
+    schema = "host long, kind int, id long, element string, low long, high long, faults long, chars long, links long, article long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            orders: dict[tuple[int, int], list[int]] = {}
+            slots: dict[tuple[int, int, str], list[int]] = {}
+            for host, page, tokens, kinds in zip(batch.column("host").to_pylist(), batch.column("html"), batch.column("tokens").to_pylist(), batch.column("classes").to_pylist()):
+                classes = dict(zip(tokens, kinds))
+                events = events_of(page.as_py())
+                order, faulty = class_orders([_token(*e[:3:2]) for e in events if _is_token(*e[:3])], classes)
+                for kind, value in order.items():
+                    seen = orders.setdefault((host, kind), [value, value, 0])
+                    seen[:] = min(seen[0], value), max(seen[1], value), seen[2] + (kind in faulty)
+                for slot, holder, path, text, linked, token in slots_of(events, classes):
+                    if token not in classes:
+                        total = slots.setdefault((host, slot, holder), [0, 0, 0])
+                        total[0] += len(text)
+                        total[1] += linked
+                        total[2] += len(text) if _is_article(path) else 0
+            rows = [(h, 0, k, "", *v, 0, 0, 0) for (h, k), v in orders.items()] + [(h, 1, k, e, 0, 0, 0, *v) for (h, k, e), v in slots.items()]
+            columns = list(zip(*rows)) or [()] * 10
+            fields = [f.split() for f in schema.split(", ")]
+            kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+
+    summed = joined.mapInArrow(run, schema).groupBy("host", "kind", "id", "element")
+    return summed.agg(F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(c).alias(c) for c in ("faults", "chars", "links", "article")])
+
+
+def _by_host(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """Rows with the lists of their host; few lists are broadcast, more are joined by host."""
+    size = templates.agg(F.sum(sum((F.size(c) for c in templates.columns if c != "host"), F.lit(1)))).first()[0] or 0
+    return rows.join(F.broadcast(templates) if 8 * size <= BROADCAST_BYTES else templates, "host", "left")
+
+
+def host_templates(pages: DataFrame) -> DataFrame:
+    """One row per host that has a template: tokens of all its classes, fixed (tokens of the valid ones) and main (its main slots).
+
+    ``pages`` has host, page_key (a hash of the html) and html (not null).  An empty table gives no
+    rows.  A list is no longer than two pages of the host on average, as each of its tokens is on most pages.
+    """
+    classes = cut_lineage(token_classes(pages))
+    lists = cut_lineage(classes.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("token", "class"))).alias("all")).select(
+        "host", F.col("all.token").alias("tokens"), F.col("all.class").alias("classes")
+    ))
+    seen = cut_lineage(_evidence(_by_host(pages.select("host", "html"), lists).where("tokens is not null")))
+    broken = seen.where("kind = 0 and (low <> high or faults > 0)").select("host", F.col("id").alias("class"))
+    fixed = classes.join(broken, ["host", "class"], "left_anti").groupBy("host").agg(F.collect_list("token").alias("fixed"))
+    slots = seen.where("kind = 1").select("host", F.col("id").alias("slot"), "element", "chars", "links", "article")
+    # the element whose own text, not in links, is most
+    best = slots.groupBy("host", "element").agg(F.sum(F.col("chars") - 2 * F.col("links")).alias("own"), F.sum("article").alias("article"))
+    best = best.groupBy("host").agg(F.max(F.struct("own", "element"))["element"].alias("best"), (F.sum("article") > 0).alias("has_article"))
+    inside = (F.col("element") == F.col("best")) | F.col("element").startswith(F.concat("best", F.lit(">"))) | (F.col("best") == "")
+    main = slots.join(best, "host").where(F.when(F.col("has_article"), F.col("article") > 0).otherwise(inside & (2 * F.col("links") <= F.col("chars"))))
+    main = main.groupBy("host").agg(F.collect_set("slot").alias("main"))
+    return lists.drop("classes").join(fixed, "host", "left").join(main, "host", "left")
+
+
+def main_text(page: str, tokens: Collection[int] | None, fixed: Collection[int] | None, main: Collection[int] | None) -> tuple[str, bool]:
+    """Blocks of a page joined by line feeds, and whether the template of its host decided.
+
+    Without a template, or if the page has no text in its main slots, the blocks in its article or main element
+    are taken, or else all that are not marked as something else and are no text of the template.
     """
-    blocks = [b for b in blocks_of(page)[0] if not b[1]]
-    inside = [b[2] for b in blocks if _is_article(b[0])]
-    if inside:
-        return "\n".join(inside)
-    slots, known = set(main or ()), set(fixed or ())
-    chosen = [b for b in blocks if b[0] in slots] or blocks
-    return "\n".join(b[2] for b in chosen if not known or b[0] + "\n" + xxhash.xxh3_128_hexdigest(b[2].encode("utf-8", "replace")) not in known)
+    known = set(fixed or ())
+    blocks = [(slot, path, text) for slot, _, path, text, _, token in slots_of(events_of(page), set(tokens or ())) if token not in known]
+    slots = set(main or ())
+    chosen = [b for b in blocks if b[0] in slots]
+    rest = chosen or blocks
+    # a slot may hold an article together with other elements
+    return "\n".join(b[2] for b in [b for b in rest if _is_article(b[1])] or rest), bool(chosen)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url and text of every row, from the whole html.
+    """page_id, url, text and by_template of every row, from the whole html.
 
     A null or empty html, or one without main text, gives the empty text.  Null urls, and those
-    without ``://``, are pages of one host without a name.  Repeated rows and null ids stay; other
-    columns are not read; an empty table gives no rows.
+    without ``://``, are pages of one host without a name.  Repeated rows and null ids stay, and change no
+    template; other columns are not read; an empty table gives no rows.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    rows = rows.withColumn("host", host_of(F.col("url")))
-    templates = cut_lineage(host_templates(rows.select("host", F.xxhash64("html", "page_id").alias("page_key"), "html")))
-    size = templates.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
-    joined = rows.join(F.broadcast(templates) if size <= BROADCAST_BYTES else templates, "host", "left")
+    rows = rows.withColumn("host", F.xxhash64(host_of(F.col("url"))))
+    templates = cut_lineage(host_templates(rows.select("host", F.xxhash64("html").alias("page_key"), "html")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [main_text(h.as_py(), m, f) for h, m, f in zip(batch.column("html"), batch.column("main").to_pylist(), batch.column("fixed").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
+            lists = [batch.column(c).to_pylist() for c in ("tokens", "fixed", "main")]
+            found = [main_text(h.as_py(), *of) for h, *of in zip(batch.column("html"), *lists)]
+            columns = [batch.column("page_id"), batch.column("url"), pa.array([t for t, _ in found], pa.string()), pa.array([d for _, d in found], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "by_template"])
 
-    return joined.select("page_id", "url", "html", "main", "fixed").mapInArrow(run, "page_id long, url string, text string")
+    joined = _by_host(rows, templates).select("page_id", "url", "html", "tokens", "fixed", "main")
+    return joined.mapInArrow(run, "page_id long, url string, text string, by_template boolean")
