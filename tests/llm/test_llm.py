@@ -420,3 +420,30 @@ def test_toxicity_is_learned_from_whole_texts(spark):
     model = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True))
     got = {r.doc_id: r.score >= 0.5 for r in toxicity.score_toxicity(table, model).collect()}
     assert sum(got[i] == bool(y) for i, _, y in rows) >= 150
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_backoff_scores_equal_brute_force(spark, least):
+    """Blocks of a few words, so every n-gram's count comes from many blocks; unseen pairs do back off."""
+    rows = awkward()
+    said = [(i, [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]) for i, t in rows]
+    ones = Counter(w for _, words in said for w in words)
+    twos = Counter(p for _, words in said for p in zip(words, words[1:]))
+    total, want = sum(ones.values()), defaultdict(lambda: [0, 0, 0.0])
+    for i, words in said:
+        found = want[i]
+        for k, w in enumerate(words):
+            seen = k > 0 and twos[words[k - 1], w] >= least
+            found[0] += 1
+            found[1] += k > 0 and not seen
+            found[2] += np.log(twos[words[k - 1], w] / ones[words[k - 1]]) if seen else np.log((0.4 if k else 1) * ones[w] / total)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    scored = lm_score.backoff_scores(docs, least=least, block_words=40)
+    got = {r.doc_id: (r.n_words, r.n_backoff, r.score) for r in scored.collect()}
+    assert got.keys() == want.keys()
+    for i, (n, back, value) in want.items():
+        assert got[i][:2] == (n, back)
+        assert got[i][2] == (pytest.approx(value / n, abs=1e-9) if n else None)
+    assert sum(back for _, back, _ in want.values()) > 0 or least == 1
+    # no join of all word occurrences with the counts, as none of it is needed to tell what backs off
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
