@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -364,49 +363,114 @@ def hinge_svm(train: DataFrame, validation: DataFrame, penalties: Sequence[float
     return _machines(train, validation, {p: 2 * p for p in penalties}, "penalty", threads)
 
 
-def perceptron(df: DataFrame, classes: int, size: int, max_epochs: int | None = None) -> np.ndarray:
+#: Rows closest to being misclassified that are kept between two passes of the perceptron.
+NEAR_ROWS = 8192
+
+
+def _said(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return (x @ weights.T).argmax(axis=1)
+
+
+def _add_wrong(total: np.ndarray, x: np.ndarray, truth: np.ndarray, said: np.ndarray) -> None:
+    wrong = said != truth
+    np.add.at(total, truth[wrong], x[wrong])
+    np.subtract.at(total, said[wrong], x[wrong])
+
+
+def _margins(x: np.ndarray, truth: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """How far the true class leads, in units of the row's length: less rounding error, so a bound from below.
+
+    While no difference of two classes' weights has moved that far, the row stays correct.
+    """
+    length = np.sqrt(np.einsum("ij,ij->i", x, x))
+    scores = x @ weights.T
+    own = scores[np.arange(len(x)), truth]
+    scores[np.arange(len(x)), truth] = -np.inf
+    rounding = 8 * np.finfo(np.float64).eps * (x.shape[1] + 2) * np.sqrt((weights**2).sum(axis=1)).max()
+    return (own - scores.max(axis=1)) / length - rounding
+
+
+def _pass(current: np.ndarray, kept: int):
+    """Of one task: the correction of every class, the ``kept`` rows of least margin, and the least margin left out."""
+
+    def run(batches):
+        total = np.zeros_like(current)
+        held = [np.zeros(0), np.zeros(0, np.int32), np.zeros((0, current.shape[1]))]
+        beyond = np.inf
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = block(batch.column(0))
+            x = np.hstack([np.ones((len(x), 1)), x])
+            truth = batch.column(1).to_numpy()
+            _add_wrong(total, x, truth, _said(x, current))
+            held = [np.concatenate(c) for c in zip(held, (_margins(x, truth, current), truth, x))]
+            if len(held[0]) > kept:
+                order = np.argpartition(held[0], kept)
+                beyond = min(beyond, held[0][order[kept]])
+                held = [c[order[:kept]] for c in held]
+        classes = len(current)
+        vectors = np.vstack([total, held[2]])
+        ends = np.arange(len(vectors) + 1, dtype=np.int32) * current.shape[1]
+        columns = [
+            pa.array(np.append(np.zeros(classes, bool), np.ones(len(held[0]), bool))),
+            pa.array(np.append(np.arange(classes, dtype=np.int32), held[1].astype(np.int32))),
+            pa.array(np.append(np.full(classes, beyond), held[0])), pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["near", "label", "margin", "x"])
+
+    return run
+
+
+def perceptron(df: DataFrame, classes: int, size: int, max_epochs: int | None = None, near_rows: int = NEAR_ROWS) -> np.ndarray:
     """Multiclass perceptron in batch form: classes x (1 + size) weights.
 
     Each epoch adds up, over all misclassified rows, (1, x) for the true class and takes it off
     the predicted one, until no row is misclassified.  On classes that no weights can tell apart this
-    never ends; ``max_epochs`` stops it there.  A task sums its own rows; classes x (1 + size)
-    numbers come back.
+    never ends; ``max_epochs`` stops it there.
     df: (features, label) with labels 0 .. classes - 1.
+
+    A pass over the table gives the correction of its epoch, each task's sums, and the about ``near_rows``
+    rows whose margin is least.  A row can only become wrong once the weights have moved further than its margin:
+    until they have moved as far as the least margin that was left out, the wrong rows of the epochs that
+    follow are among those few, and these epochs need no pass.  They are the same epochs, none is left out.
     """
     if max_epochs is not None and max_epochs < 1:
         raise ValueError("max_epochs must be at least 1")
     weights = np.zeros((classes, size + 1))
     rows = df.select("features", F.col("label").cast("int").alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def correction(current: np.ndarray):
-        def run(batches):
-            total = np.zeros_like(current)
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                x = block(batch.column(0))
-                x = np.hstack([np.ones((len(x), 1)), x])
-                truth = batch.column(1).to_numpy()
-                said = (x @ current.T).argmax(axis=1)
-                wrong = said != truth
-                np.add.at(total, truth[wrong], x[wrong])
-                np.subtract.at(total, said[wrong], x[wrong])
-            i, j = np.nonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], names=["i", "j", "v"]
-            )
-
-        return run
-
+    left = math.inf if max_epochs is None else max_epochs
     try:
-        for _ in itertools.count() if max_epochs is None else range(max_epochs):
-            step = rows.mapInArrow(correction(weights), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+        # (from weights of 0 no epoch goes without a pass; the first one counts the tasks)
+        kept = 1
+        while left > 0:
+            found = rows.mapInArrow(_pass(weights, kept), "near boolean, label int, margin double, x array<double>").toArrow()
+            near = found.column("near").to_numpy(zero_copy_only=False)
+            if near.all():
+                return weights
+            kept = max(1, near_rows * classes // int((~near).sum()))
+            label, margin, x = found.column("label").to_numpy(), found.column("margin").to_numpy(), block(found.column("x"))
+            # classes' sums come first, with the least margin that their task left out
+            reach = margin[~near].min(initial=np.inf)
             moved = weights.copy()
-            for r in step.collect():
-                moved[r["i"], r["j"]] += r["v"]
+            np.add.at(moved, label[~near], x[~near])
+            left -= 1
             if np.array_equal(moved, weights):
-                break
-            weights = moved
+                return weights
+            start, weights = weights, moved
+            truth, x = label[near], x[near]
+            while left > 0:
+                change = weights - start
+                steps = change[:, None, :] - change[None, :, :]
+                if np.sqrt((steps**2).sum(axis=2)).max() * (1 + 1e-9) >= reach:
+                    break
+                total = np.zeros_like(weights)
+                _add_wrong(total, x, truth, _said(x, weights))
+                moved = weights + total
+                left -= 1
+                if np.array_equal(moved, weights):
+                    return weights
+                weights = moved
     finally:
         rows.unpersist()
     return weights

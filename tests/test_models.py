@@ -261,3 +261,25 @@ def test_perceptron_runs_until_nothing_is_wrong(spark):
     weights = ml.perceptron(df, 4, 4)
     assert np.allclose(weights, batch_perceptron(x, y, 4, 100_000))
     assert ((np.hstack([np.ones((120, 1)), x]) @ weights.T).argmax(axis=1) == y).all()
+
+
+def test_perceptron_needs_few_passes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 5, 3000)
+    x = rng.normal(size=(3000, 5)).clip(-2.6, 2.6) * 0.15
+    x[np.arange(3000), y] += 1
+    df = spark.createDataFrame([(r.tolist(), int(v)) for r, v in zip(x, y)], "features array<double>, label int").repartition(3)
+    made, passes = ml._pass, []
+    monkeypatch.setattr(ml, "_pass", lambda *a: passes.append(0) or made(*a))
+    want = [batch_perceptron(x, y, 5, n) for n in (7, 15, 100_000)]
+    assert np.allclose(ml.perceptron(df, 5, 5, 7, near_rows=60), want[0])
+    assert np.allclose(ml.perceptron(df, 5, 5, 15, near_rows=60), want[1])
+    passes.clear()
+    assert np.allclose(ml.perceptron(df, 5, 5, near_rows=60), want[2])
+    # 31 epochs, of which most need no pass
+    assert not np.allclose(want[1], want[2]) and len(passes) <= 8
+
+
+def test_perceptron_of_no_rows(spark):
+    df = spark.createDataFrame([], "features array<double>, label int")
+    assert (ml.perceptron(df, 3, 2) == np.zeros((3, 3))).all()
