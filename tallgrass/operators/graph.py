@@ -16,7 +16,7 @@ from tallgrass.plans.lineage import cut_lineage
 #: Edges that one task of the triangle count takes, about.
 TASK_EDGES = 1 << 22
 #: Pairs of arcs that are looked up at a time.
-WEDGES = 1 << 20
+WEDGES = 1 << 18
 
 
 def default_weight(edges: DataFrame) -> DataFrame:
@@ -58,28 +58,45 @@ def top_degree(node_degrees: DataFrame, k: int = 50) -> DataFrame:
 
 
 def _count_triple(table: pa.Table) -> pa.Table:
-    """Triangles among the edges of one triple of colours whose corners have just these colours."""
-    ends = np.stack([table.column("a").to_numpy(), table.column("b").to_numpy()])
-    names, ends = np.unique(ends, return_inverse=True)
-    ends = ends.reshape(2, -1)
-    colour = np.zeros(len(names), np.int64)
+    """Triangles among the edges of one triple of colours whose corners have just these colours.
+
+    Besides the table it holds about 40 bytes an edge: what is done with goes at once, and numbers of
+    nodes take 4 bytes.
+    """
+    names = np.concatenate([table.column("a").to_numpy(), table.column("b").to_numpy()])
+    names.sort()
+    names = names[np.append(True, names[1:] != names[:-1])]
+    ends = [np.searchsorted(names, table.column(c).to_numpy()).astype(np.int32) for c in ("a", "b")]
+    count = len(names)
+    del names
+    colour = np.zeros(count, np.uint16)
     both = table.column("both").to_numpy()
-    colour[ends[0]], colour[ends[1]] = both >> 32, both & 0xFFFFFFFF
+    colour[ends[0]], colour[ends[1]] = (both >> 16) & 0xFFFF, both & 0xFFFF
+    del both
     # from low to high degree: no node keeps more than sqrt(2 x edges) outgoing arcs
-    degree = np.bincount(ends.ravel(), minlength=len(names))
-    place = np.empty(len(names), np.int64)
-    place[np.lexsort((np.arange(len(names)), degree))] = np.arange(len(names))
-    low, high = np.minimum(place[ends[0]], place[ends[1]]), np.maximum(place[ends[0]], place[ends[1]])
+    degree = np.bincount(ends[0], minlength=count) + np.bincount(ends[1], minlength=count)
+    place = np.empty(count, np.int32)
+    place[np.argsort(degree, kind="stable")] = np.arange(count, dtype=np.int32)
     shade = np.empty_like(colour)
     shade[place] = colour
-    arcs = np.sort(low * len(names) + high)
-    low, high = arcs // len(names), arcs % len(names)
-    first = np.searchsorted(low, np.arange(len(names) + 1))
+    ends = [place[e] for e in ends]
+    del degree, colour, place
+    arcs = np.minimum(*ends).astype(np.int64)
+    arcs *= count
+    arcs += np.maximum(*ends)
+    del ends
+    arcs.sort()
+    low, high = (arcs // count).astype(np.int32), (arcs % count).astype(np.int32)
+    first = np.searchsorted(low, np.arange(count + 1, dtype=np.int32))
     # arcs i < j of one source are a wedge; it is closed if an arc joins their ends
-    behind = first[low + 1] - np.arange(len(low)) - 1
+    behind = first[low + 1]
+    behind -= np.arange(1, len(low) + 1)
+    behind = behind.astype(np.int32)
+    del first
     several = not table.column("one_colour")[0].as_py()
     found = 0
-    steps = np.concatenate([[0], np.cumsum(behind)])
+    steps = np.zeros(len(low) + 1, np.int64)
+    np.cumsum(behind, out=steps[1:])
     at = 0
     while at < len(low):
         # at least one arc, else as many as give WEDGES wedges
@@ -87,7 +104,7 @@ def _count_triple(table: pa.Table) -> pa.Table:
         n = behind[at:end]
         i = np.repeat(np.arange(at, end), n)
         j = i + 1 + np.arange(len(i)) - np.repeat(steps[at:end] - steps[at], n)
-        wanted = high[i] * len(names) + high[j]
+        wanted = high[i].astype(np.int64) * count + high[j]
         spot = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
         closed = arcs[spot] == wanted
         if several:
@@ -136,7 +153,7 @@ def triangles(edges: DataFrame, node_degrees: DataFrame, task_edges: int = TASK_
     middle = F.col("x") + F.col("y") + F.col("z") - low - high
     counted = dealt.select(
         ((low * colours + middle) * colours + high).alias("triple"), "a", "b",
-        F.shiftleft(F.col("x").cast("long"), 32).bitwiseOR(F.col("y").cast("long")).alias("both"), (low == high).alias("one_colour"),
+        F.shiftleft(F.col("x"), 16).bitwiseOR(F.col("y")).alias("both"), (low == high).alias("one_colour"),
     ).groupBy("triple").applyInArrow(_count_triple, "found long")
 
     # hubs stand last in the order of (degree, id); a node lists the hubs behind itself

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -141,3 +144,22 @@ def test_an_edge_goes_to_as_many_triples_as_there_are_colours(spark):
     plan = gr.triangles(edges, gr.degrees(edges), 30)
     assert gr.colours_for(435, 30) == 10 and plan.first()[0] == 30 * 29 * 28 // 6
     assert gr.colours_for(0) == 4
+
+
+def test_count_of_a_triple_holds_few_bytes_an_edge():
+    rng = np.random.default_rng(6)
+    codes = np.unique(rng.integers(0, 20_000, 300_000) * 20_000 + rng.integers(0, 20_000, 300_000))
+    a, b = codes // 20_000, codes % 20_000
+    a, b = a[a < b], b[a < b]
+    table = pa.table({"triple": np.zeros(len(a), np.int64), "a": a, "b": b, "both": np.zeros(len(a), np.int32), "one_colour": np.ones(len(a), bool)})
+    near = {}
+    for x, y in zip(a.tolist(), b.tolist()):
+        near.setdefault(x, set()).add(y)
+    want = sum(len(near[x] & near.get(y, set())) for x, y in zip(a.tolist(), b.tolist()))
+    tracemalloc.start()
+    got = gr._count_triple(table)["found"].to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [want]
+    # most of it are the wedges of one step, however many edges there are
+    assert peak < 24 << 20
