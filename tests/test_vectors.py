@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -185,3 +186,37 @@ def test_a_join_on_buckets_leaves_them_in_place(spark):
         kept = placed.join(left_out, "id", "left_anti")
         plan = kept._jdf.queryExecution().executedPlan().toString()
         assert kept.count() == 26 and "Bucketed: true" in plan and plan.count("hashpartitioning(id") == 1
+
+
+@pytest.mark.parametrize("p", [1.0, 2.0, 1.5, 0.5])
+def test_nearest_pairs_hold_few_distances(p):
+    """The closest rows and all ties, in bounded memory."""
+    rng = np.random.default_rng(8)
+    right = np.vstack([rng.normal(size=(3900, 6)), rng.integers(0, 2, (100, 6))])
+    left = np.vstack([rng.normal(size=(780, 6)), right[-20:]])
+    tracemalloc.start()
+    row, col, gaps = vec.nearest_pairs(left, right, 4, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # all distances at once would take 26 MB, and several times that for steps between
+    assert peak < 25 << 20
+    got = {}
+    for r, c, g in zip(row.tolist(), col.tolist(), gaps.tolist()):
+        got.setdefault(r, {})[c] = g
+    for r, x in enumerate(left):
+        want = ((np.abs(x - right) ** p).sum(axis=1)) ** (1 / p)
+        worst = np.partition(want, 3)[3]
+        assert {c for c in range(len(right)) if want[c] < worst - 1e-9} <= got[r].keys() <= {c for c in range(len(right)) if want[c] <= worst + 1e-9}
+        assert len(got[r]) >= 4 and all(abs(want[c] - g) < 1e-9 for c, g in got[r].items())
+
+
+def test_nearest_pairs_of_hostile_numbers():
+    """Single precision only rules out: rows that it cannot tell apart, tiny and huge values."""
+    rng = np.random.default_rng(9)
+    for scale, base in ((1e-9, 1.0), (1e-300, 0.0), (1e35, 0.0), (1.0, 1e12)):
+        right, left = base + scale * rng.normal(size=(500, 3)), base + scale * rng.normal(size=(40, 3))
+        row, col, gaps = vec.nearest_pairs(left, right, 3, 1.0)
+        want = np.sort(np.abs(left[:, None] - right[None]).sum(axis=2), axis=1)[:, :3]
+        order = np.lexsort((gaps, row))
+        firsts = np.searchsorted(row[order], np.arange(40))
+        assert (gaps[order][firsts[:, None] + np.arange(3)] == want).all()
