@@ -7,7 +7,8 @@ the differences, so n2 - k2 of its second-level partitions agree in full.  One s
 for each first-level partition and each subset of n2 - k2 of its second-level partitions; sets
 that are similar enough share one.
 
-Equal sets are one node.  Sets that share a signature are first compared with the smallest id
+Equal sets are one node.  A set with a link shares most of its elements with another one, so a
+set is left out first if too many of a fixed sample of its elements are in no other set.  Sets that share a signature are first compared with the smallest id
 under that signature; what the links found so far hold together needs no further comparison.
 Only where a signature still has sets of different components are those compared with each
 other, block by block inside tasks.  Every comparison is exact in the end: a parity sketch first
@@ -39,6 +40,9 @@ MANY_SETS, PARTS = 8, 64
 COMPARED_WORDS = 1 << 21
 #: Ids that may be broadcast to pick the documents whose sets are compared (a long each).
 BROADCAST_IDS = 2_000_000
+#: Part of all elements that is sampled, as a multiple of the part in which a set may differ from
+#: a similar one: with 1.5, a set is left out if more than about two thirds of its elements are its own.
+SAMPLED = 1.5
 #: Edges whose components one task works out before tasks are joined.
 TASK_EDGES = 500_000
 
@@ -143,18 +147,26 @@ def _keys(sets: np.ndarray, count: np.ndarray, seed: int) -> np.ndarray:
     return mix(sum_runs(mix(sets * _U(2 * seed + 0x9FB21C651E98DF25)), count) + count.astype(np.uint64)).view(np.int64)
 
 
-def _profiles(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame, int]:
+def _sampled(sets: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which elements are in the sample; it depends on the element alone."""
+    share = min(1.0, SAMPLED * (den - num) / den)
+    return (mix(sets + _U(0x8CB92BA72F3D8DD7)) >> _U(32)) < _U(int(share * (1 << 32)))
+
+
+def _profiles(rows: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame, int]:
     """Rows with the size and key of their set, one row per key, and the seed under which keys tell sets apart."""
     seed = 0
     while True:
         def profile(ids: pa.Array, sets: np.ndarray, count: np.ndarray, seed: int = seed) -> pa.RecordBatch:
-            columns = [ids, count.astype(np.int64), _keys(sets, count, seed), _keys(sets, count, seed + 1000)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "n_shingles", "key", "check"])
+            sampled = sum_runs(_sampled(sets, num, den).astype(np.uint64), count).view(np.int64)
+            columns = [ids, count.astype(np.int64), sampled, _keys(sets, count, seed), _keys(sets, count, seed + 1000)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "n_shingles", "sampled", "key", "check"])
 
-        profiles = cut_lineage(_sets(rows, width, profile, "doc_id long, n_shingles long, key long, check long"))
+        profiles = cut_lineage(_sets(rows, width, profile, "doc_id long, n_shingles long, sampled long, key long, check long"))
         able = profiles.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
         classes = cut_lineage(able.groupBy("key").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), (F.min("check") != F.max("check")).alias("mixed")
+            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n_shingles").alias("n"), F.min("sampled").alias("sampled"),
+            (F.min("check") != F.max("check")).alias("mixed"),
         ))
         if classes.where("mixed").isEmpty():
             return profiles, classes.drop("mixed"), seed
@@ -207,6 +219,31 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], ["sig", "key"])
 
 
+def _suspects(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int, den: int) -> DataFrame:
+    """Ids (_id) of the first document of each set that may have a link.
+
+    Of n elements, a set with a link has at most n * (den - num) / den that the other one lacks.  So a
+    set with more sampled elements that no other set has cannot have one.  (Elements that are met
+    more than once for copies of a set only make it stay.)
+    """
+
+    def look(ids: pa.Array, sets: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        chosen = _sampled(sets, num, den)
+        return _deal(sets[chosen].view(np.int64), np.repeat(_keys(sets, count, seed), count)[chosen])
+
+    dealt = _sets(rows, width, look, "sig long, key long, part int").repartition("sig", "part").sortWithinPartitions("sig", "part", "key")
+    known = dealt.mapInArrow(_shared, "sig long, key long").groupBy("key").agg(F.count(F.lit(1)).alias("known"))
+    own = F.col("sampled") - F.coalesce("known", F.lit(0))
+    return classes.join(known, "key", "left").where(own * den <= F.col("n") * (den - num)).select(F.col("id").alias("_id"))
+
+
+def _of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is an _id of ``ids``."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, rows["doc_id"] == F.col("_id"), "left_semi")
+
+
 def linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity num / den; ``sets`` has key and elements (binary).
 
@@ -302,12 +339,12 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def _meeting(left: pa.StructArray, right: pa.StructArray, num: int, den: int, thorough: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (a < b) of the pairs of two blocks of members that _cross_pairs asks for."""
-    x, y = ({c: block.field(c).to_numpy(zero_copy_only=False) for c in ("key", "component", "n", "central")} for block in (left, right))
+def _meeting(left: pa.StructArray, right: pa.StructArray, num: int, den: int, thorough: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Keys (a < b) of the pairs of two blocks of members that _cross_pairs asks for, and whether others were left out."""
+    x, y = ({c: block.field(c).to_numpy(zero_copy_only=False) for c in ("key", "component", "n")} for block in (left, right))
     size = np.minimum(x["n"][:, None], y["n"][None, :]) * den >= np.maximum(x["n"][:, None], y["n"][None, :]) * num
-    apart = (x["component"][:, None] != y["component"][None, :]) & ~x["central"][:, None] & ~y["central"][None, :]
-    i, j = np.nonzero(apart & size)
+    apart = x["component"][:, None] != y["component"][None, :]
+    i, j = np.nonzero(np.triu(apart & size) if left is right else apart & size)
     sketches = [[np.frombuffer(raw, np.uint64) for raw in block.field("sketch").to_pylist()] for block in (left, right)]
     words = [np.array([len(s) for s in side]) for side in sketches]
     keep = np.zeros(len(i), bool)
@@ -325,35 +362,45 @@ def _meeting(left: pa.StructArray, right: pa.StructArray, num: int, den: int, th
             part = chosen[k:k + step]
             keep[part] = differ * (den + num) <= (x["n"][i[part]] + y["n"][j[part]]) * (den - num)
     i, j = i[keep], j[keep]
-    if not thorough:
+    few = thorough or len(i) <= len(x["key"]) + len(y["key"])
+    if not few:
         low, high = np.minimum(x["component"][i], y["component"][j]), np.maximum(x["component"][i], y["component"][j])
         order = np.lexsort((high, low))
         new = np.append(True, (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0))[:len(order)]
         i, j = i[order[new]], j[order[new]]
-    return np.minimum(x["key"][i], y["key"][j]), np.maximum(x["key"][i], y["key"][j])
+    return np.minimum(x["key"][i], y["key"][j]), np.maximum(x["key"][i], y["key"][j]), not few
 
 
-def _cross_pairs(members: DataFrame, num: int, den: int, thorough: bool) -> DataFrame:
-    """Pairs (a < b) of different components under one signature that may link; ``members`` has sig, key, central, component, n, sketch.
+def _cross_pairs(members: DataFrame, sketches: DataFrame, num: int, den: int, thorough: bool) -> DataFrame:
+    """Pairs (a < b) of different components under one signature that may link, and cut; ``members`` has sig, key, component.
 
-    All of them if ``thorough``, else one for every two components that meet.  Pairs with the
-    central set of the signature were compared before and are left out.  The members of a
-    signature are dealt over blocks; every two of its blocks meet in one task row.
+    All of them if ``thorough``; else blocks that have more such pairs than members give one for
+    every two components that meet, marked as cut.  The members of a signature are dealt over
+    blocks; every two of its blocks meet in one task row.
     """
     sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    blocks = dealt.groupBy("sig", "block", "blocks").agg(F.collect_list(F.struct("key", "central", "component", "n", "sketch")).alias("rows"))
-    left = blocks.select("sig", F.col("block").alias("i"), F.col("rows").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-    right = blocks.select(F.col("sig").alias("sig2"), F.col("block").alias("j2"), F.col("rows").alias("right"))
-    met = left.join(right, (F.col("sig") == F.col("sig2")) & (F.col("j") == F.col("j2"))).select("left", "right")
+    dealt = cut_lineage(members.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
+    # dealt before the lists are made: rows in order of their key, with equal sketches, pack well
+    rows = dealt.join(sketches, "key").repartition("sig", "block")
+    blocks = rows.groupBy("sig", "block", "blocks").agg(F.collect_list(F.struct("key", "component", "n", "sketch")).alias("rows"))
+    # a signature of one block meets itself as it lies
+    one = blocks.where("blocks = 1").select(F.col("rows").alias("left"), F.lit(None).cast(blocks.schema["rows"].dataType).alias("right"))
+    many = blocks.where("blocks > 1")
+    left = many.select("sig", F.col("block").alias("i"), F.col("rows").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    right = many.select(F.col("sig").alias("sig2"), F.col("block").alias("j2"), F.col("rows").alias("right"))
+    met = one.union(left.join(right, (F.col("sig") == F.col("sig2")) & (F.col("j") == F.col("j2"))).select("left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_meeting(left.values, right.values, num, den, thorough) for left, right in zip(batch.column("left"), batch.column("right"))]
+            found = []
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                block = left.values
+                found.append(_meeting(block, right.values if right.is_valid else block, num, den, thorough))
             a, b = (np.concatenate([np.zeros(0, np.int64), *[f[i] for f in found]]) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            cut = np.repeat(np.array([f[2] for f in found], bool), [len(f[0]) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cut)], ["a", "b", "cut"])
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    return met.mapInArrow(run, "a long, b long, cut boolean").groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
 def near_groups(
@@ -367,7 +414,7 @@ def near_groups(
     table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profiles, classes, seed = _profiles(rows, width)
+    profiles, classes, seed = _profiles(rows, width, num, den)
     edges = _links(rows.where(F.col("doc_id").isNotNull()), classes, seed, width, num, den)
 
     # only sets that have a link or copies belong to another document than themselves
@@ -389,6 +436,7 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
         signature, owner = PartEnum(num, den).signatures(sets, count)
         return _deal(signature.view(np.int64), _keys(sets, count, seed)[owner])
 
+    rows = _of_ids(rows, cut_lineage(_suspects(rows, classes, seed, width, num, den)))
     # dealt once by signature; most signatures belong to one set and end in the task that sorts them
     signed = _sets(rows, width, sign, "sig long, key long, part int")
     dealt = signed.repartition("sig", "part").sortWithinPartitions("sig", "part", "key")
@@ -396,12 +444,11 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
     # the set that meets most others is the likeliest centre of its group: it stands for the signature
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     degree = members.join(sizes, "sig").groupBy("key").agg(F.sum("size").alias("degree"))
-    centre = cut_lineage(members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("a")))
+    centre = members.join(degree, "key").groupBy("sig").agg(F.max(F.struct("degree", "key"))["key"].alias("a"))
+    others = cut_lineage(members.join(centre, "sig").where("key <> a"))
 
     # the sets that share any signature, from the document with the smallest id of each
     wanted = cut_lineage(members.select("key").distinct().join(classes, "key").select(F.col("id").alias("_id")).distinct())
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
 
     def hold(ids: pa.Array, sets: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         ends = np.cumsum(count)
@@ -412,30 +459,31 @@ def _links(rows: DataFrame, classes: DataFrame, seed: int, width: int, num: int,
         ]
         return pa.RecordBatch.from_arrays(columns, ["key", "n", "sketch", "elements"])
 
-    held = _sets(rows.join(wanted, rows["doc_id"] == F.col("_id"), "left_semi"), width, hold, "key long, n long, sketch binary, elements binary")
+    held = _sets(_of_ids(rows, wanted), width, hold, "key long, n long, sketch binary, elements binary")
     held = cut_lineage(held.where("n > 0"))
     sketches = held.select("key", "n", "sketch").dropDuplicates(["key"])
     sets = held.select("key", "elements")
 
-    star = members.join(centre, "sig").where("key != a").select("a", F.col("key").alias("b")).distinct()
+    star = others.select("a", F.col("key").alias("b")).distinct()
     star = cut_lineage(_plausible(star, sketches, num, den))
     links = cut_lineage(linked_pairs(star, sets, num, den).distinct())
     compared = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    # signatures that still have sets of different components: one pair for every two components
-    # first; when no such pair is a link, or all of them were compared before, all pairs that are left
-    thorough = False
+    # signatures that still have sets of different components besides their centre: where many pairs
+    # are left, one for every two components first; when no such pair is a link, or all of them were
+    # compared before, all pairs that are left
+    members, thorough = others.select("sig", "key"), False
     while True:
         label = components(links).select(F.col("id").alias("key"), "component")
         placed = members.join(label, "key", "left").select("sig", "key", F.coalesce("component", "key").alias("component"))
-        still = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        rest = placed.join(still.where("low < high and n > 2").select("sig"), "sig").join(centre, "sig")
-        rest = cut_lineage(rest.select("sig", "key", "component", (F.col("key") == F.col("a")).alias("central")))
+        still = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        rest = cut_lineage(placed.join(still.where("low < high").select("sig"), "sig"))
         # components only grow: what is settled stays so
         members = rest.select("sig", "key")
-        pairs = cut_lineage(_cross_pairs(rest.join(sketches, "key"), num, den, thorough).join(compared, ["a", "b"], "left_anti"))
+        met = cut_lineage(_cross_pairs(rest, sketches, num, den, thorough))
+        pairs = cut_lineage(met.select("a", "b").join(compared, ["a", "b"], "left_anti"))
         found = cut_lineage(linked_pairs(pairs, sets, num, den))
-        if thorough or rest.isEmpty():
+        if thorough or met.where("cut").isEmpty():
             return links.union(found)
         none = found.isEmpty()
         compared = compared.union(pairs)

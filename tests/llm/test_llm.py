@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallgrass.llm import bpe, exact_dedup, html_template, language, lm_score, mtree, near_join, packing, toxicity, url_filter
@@ -215,6 +216,46 @@ def test_near_groups_of_awkward_rows(docs):
     assert all(r.component_id == r.doc_id for r in rows if r.n_shingles == 0)
 
 
+@pytest.mark.parametrize("sampled", [0.1, 1.5, 100])
+def test_near_groups_with_any_sample(spark, monkeypatch, sampled):
+    monkeypatch.setattr(near_join, "SAMPLED", sampled)
+    rows = near_rows() + [(10 ** 6 + k, " ".join(f"own{k} own{j}" for j in range(50))) for k in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_join.near_groups(table, 5, 80, 100).collect()}
+    assert got == brute_components(rows, 5, 80, 100)
+
+
+def test_texts_that_share_a_passage_are_not_held(spark, monkeypatch):
+    held, cut = [], near_join.cut_lineage
+
+    def counting(df):
+        out = cut(df)
+        if "elements" in out.columns:
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_join, "cut_lineage", counting)
+    rng = random.Random(3)
+    passage = " ".join(f"p{j}" for j in range(60))
+    rows = [(k, " ".join([passage, *(f"w{rng.randrange(10 ** 9)}" for _ in range(340))])) for k in range(60)]
+    rows.append((100, rows[7][1] + " end"))
+    got = {r.doc_id: r.component_id for r in near_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 7 if i == 100 else i for i, _ in rows}
+    assert held == [2]
+
+
+def test_meeting_tells_what_it_leaves_out():
+    x = np.arange(40, dtype=np.uint64)
+    members = [{"key": k, "component": k % 2, "n": 40, "sketch": near_join.sketch(x, near_join.sketch_words(40)).tobytes()} for k in range(10)]
+    block = pa.array(members)
+    a, b, cut = near_join._meeting(block, block, 80, 100, False)
+    assert len(a) == 1 and (a[0] + b[0]) % 2 and cut
+    a, b, cut = near_join._meeting(block, block, 80, 100, True)
+    assert sorted(zip(a, b)) == [(i, j) for i in range(10) for j in range(i + 1, 10) if (i + j) % 2] and not cut
+    a, b, cut = near_join._meeting(block[:4], block[4:8], 80, 100, False)
+    assert len(a) == 8 and not cut
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(0)
     for num, den in ((9, 10), (8, 10)):
