@@ -25,6 +25,8 @@ from tallgrass.llm.bpe import BytePairCodec, text_slices
 
 #: Remainders that wait before windows are filled, and that are left for the next round.
 POOL, REST = 512, 64
+#: Characters of text that are encoded together: what a task holds besides its rows grows with them.
+SLICE_CHARS = 4_000_000
 #: Sequence numbers that one partition may use.
 SEQUENCES = 1 << 32
 
@@ -184,7 +186,7 @@ def pack_documents(
             )
 
         for batch in batches:
-            for first, texts in text_slices(batch, "text"):
+            for first, texts in text_slices(batch, "text", SLICE_CHARS):
                 keys = batch.column("doc_id").slice(first, len(texts)).to_pylist()
                 pieces = [p for doc, ids in zip(keys, tokenizer.encode(texts)) for p in packer.add(doc, ids + tail)]
                 if pieces:

@@ -244,6 +244,16 @@ def test_texts_that_share_a_passage_are_not_held(spark, monkeypatch):
     assert held == [2]
 
 
+def test_pieces_do_not_depend_on_the_slices(spark, monkeypatch):
+    rows = [(k, " ".join(f"word{(k * 7 + j) % 50}" for j in range(k * 5))) for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen = []
+    for chars in (packing.SLICE_CHARS, 500):
+        monkeypatch.setattr(packing, "SLICE_CHARS", chars)
+        seen.append(sorted(tuple(r) for r in packing.pack_documents(table, vocabulary()).collect()))
+    assert len(seen[0]) >= 60 and seen[0] == seen[1]
+
+
 def test_meeting_tells_what_it_leaves_out():
     x = np.arange(40, dtype=np.uint64)
     members = [{"key": k, "component": k % 2, "n": 40, "sketch": near_join.sketch(x, near_join.sketch_words(40)).tobytes()} for k in range(10)]
