@@ -6,17 +6,25 @@ Edges are (a, b, w) with a < b; arcs are the same edges in both directions (src,
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Container, Iterable, Iterator
+from itertools import batched, combinations
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallgrass.plans.lineage import cut_lineage
+from tallgrass.session import new_folder
 
 #: Edges that one task of the triangle count takes, about.
 TASK_EDGES = 1 << 22
 #: Pairs of arcs that are looked up at a time.
 WEDGES = 1 << 18
+#: Sets of colours that one job counts, at least.
+JOB_SETS = 64
 
 
 def default_weight(edges: DataFrame) -> DataFrame:
@@ -57,43 +65,59 @@ def top_degree(node_degrees: DataFrame, k: int = 50) -> DataFrame:
     return node_degrees.orderBy(F.desc("degree"), "id").limit(k)
 
 
+def _distinct(nodes: np.ndarray) -> np.ndarray:
+    """The different ones in order, by sorting a copy: np.unique hashes numbers, which takes longer."""
+    nodes = np.sort(nodes)
+    return nodes[np.append(True, nodes[1:] != nodes[:-1])]
+
+
 def _count_triple(table: pa.Table) -> pa.Table:
     """Triangles among the edges of one triple of colours whose corners have just these colours.
 
-    Besides the table it holds about 40 bytes an edge: what is done with goes at once, and numbers of
-    nodes take 4 bytes.
+    Besides the table it holds about 30 bytes an edge: what is done with goes at once (the table too, if
+    the caller keeps none), numbers of nodes take 4 bytes, and the batches of the table, one a block, are
+    numbered one after the other.
     """
-    names = np.concatenate([table.column("a").to_numpy(), table.column("b").to_numpy()])
-    names.sort()
-    names = names[np.append(True, names[1:] != names[:-1])]
-    ends = [np.searchsorted(names, table.column(c).to_numpy()).astype(np.int32) for c in ("a", "b")]
+    one_colour, n_edges = table.column("one_colour")[0].as_py(), len(table)
+    parts = [tuple(batch.column(c).to_numpy() for c in ("a", "b", "both")) for batch in table.to_batches()]
+    del table
+    names = _distinct(np.concatenate([_distinct(nodes) for a, b, _ in parts for nodes in (a, b)]))
     count = len(names)
-    del names
-    colour = np.zeros(count, np.uint16)
-    both = table.column("both").to_numpy()
-    colour[ends[0]], colour[ends[1]] = (both >> 16) & 0xFFFF, both & 0xFFFF
-    del both
+    ends = np.empty((2, n_edges), np.int32)
+    colour, degree = np.zeros(count, np.uint16), np.zeros(count, np.int64)
+    start, several = 0, False
+    while parts:
+        a, b, both = parts.pop()
+        for end, nodes, shift in ((ends[0], a, 16), (ends[1], b, 0)):
+            numbers = end[start : start + len(nodes)]
+            numbers[:] = np.searchsorted(names, nodes)
+            colour[numbers] = (both >> shift) & 0xFFFF
+            degree += np.bincount(numbers, minlength=count)
+        start += len(a)
+        # a triangle of one colour belongs to the triple that has only this colour
+        several |= not one_colour and bool(((both >> 16) == (both & 0xFFFF)).any())
+    del names, numbers, nodes, a, b, both
     # from low to high degree: no node keeps more than sqrt(2 x edges) outgoing arcs
-    degree = np.bincount(ends[0], minlength=count) + np.bincount(ends[1], minlength=count)
     place = np.empty(count, np.int32)
     place[np.argsort(degree, kind="stable")] = np.arange(count, dtype=np.int32)
     shade = np.empty_like(colour)
     shade[place] = colour
-    ends = [place[e] for e in ends]
+    for end in ends:
+        end[:] = place[end]
     del degree, colour, place
-    arcs = np.minimum(*ends).astype(np.int64)
+    arcs = np.minimum(*ends, dtype=np.int64)
     arcs *= count
     arcs += np.maximum(*ends)
-    del ends
+    del end, ends
     arcs.sort()
     low, high = (arcs // count).astype(np.int32), (arcs % count).astype(np.int32)
-    first = np.searchsorted(low, np.arange(count + 1, dtype=np.int32))
+    first = np.searchsorted(low, np.arange(count + 1, dtype=np.int32)).astype(np.int32)
     # arcs i < j of one source are a wedge; it is closed if an arc joins their ends
     behind = first[low + 1]
-    behind -= np.arange(1, len(low) + 1)
-    behind = behind.astype(np.int32)
+    behind -= np.arange(1, len(low) + 1, dtype=np.int32)
+    # no arc starts where arc i ends: none of its wedges is closed
+    behind[first[high] == first[high + 1]] = 0
     del first
-    several = not table.column("one_colour")[0].as_py()
     found = 0
     steps = np.zeros(len(low) + 1, np.int64)
     np.cumsum(behind, out=steps[1:])
@@ -105,13 +129,13 @@ def _count_triple(table: pa.Table) -> pa.Table:
         i = np.repeat(np.arange(at, end), n)
         j = i + 1 + np.arange(len(i)) - np.repeat(steps[at:end] - steps[at], n)
         wanted = high[i].astype(np.int64) * count + high[j]
-        spot = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
-        closed = arcs[spot] == wanted
         if several:
-            # a triangle of one colour belongs to the triple that has only this colour
             x, y, z = shade[low[i]], shade[high[i]], shade[high[j]]
-            closed &= (x != y) | (y != z)
-        found += int(closed.sum())
+            wanted = wanted[(x != y) | (y != z)]
+        # in order the lookups stay in the cache
+        wanted.sort()
+        spot = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
+        found += int((arcs[spot] == wanted).sum())
         at = end
     return pa.table({"found": pa.array([found], pa.int64())})
 
@@ -124,57 +148,137 @@ def colours_for(n_edges: int, task_edges: int = TASK_EDGES) -> int:
     return max(4, math.ceil(math.sqrt(6 * n_edges / task_edges)))
 
 
-def triangles(edges: DataFrame, node_degrees: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
-    """Number of triangles, as one row.
+def _blocks(edges: DataFrame, colours: int) -> dict[int, list[str]]:
+    """The edges written once, one folder for the edges between two colours: its files, by number.
 
-    Nodes get one of c colours by hash.  An edge goes to the c triples of colours that can hold a
-    triangle with it, and each triple is counted in one task: edges x c rows are shuffled, ids
-    only, however skewed the degrees are.
-
-    A node with more than edges / c neighbours would fill its triples, so such hubs (2 c at
-    most) are taken out first.  Every node keeps a list of its hubs; the triangles with a hub are
-    the common later hubs of the two ends of an edge.  Both counts are exact.
+    The number has the lower colour, which is that of ``a``, and 16 bits below it the other one.
     """
-    n_edges = edges.count()
-    colours = colours_for(n_edges, task_edges)
-    # the degrees add up to 2 x edges: fewer than 2 x colours nodes can lie above this bound
-    hubs = node_degrees.where(F.col("degree") > n_edges / colours).select("id", "degree")
-    hubs = F.broadcast(cut_lineage(hubs))
-    plain = edges.select("a", "b")
-    light = plain.join(hubs, F.col("a") == F.col("id"), "left_anti").join(hubs, F.col("b") == F.col("id"), "left_anti")
 
     def colour(node: str) -> Column:
         return F.pmod(F.xxhash64(node), F.lit(colours)).cast("int")
 
-    dealt = light.select("a", "b", colour("a").alias("x"), colour("b").alias("y")).withColumn(
-        "z", F.explode(F.sequence(F.lit(0), F.lit(colours - 1)))
+    turned = F.col("x") > F.col("y")
+    dealt = edges.withColumns({"x": colour("a"), "y": colour("b")}).select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
+        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"),
     )
-    low, high = F.least("x", "y", "z").cast("long"), F.greatest("x", "y", "z").cast("long")
-    middle = F.col("x") + F.col("y") + F.col("z") - low - high
-    counted = dealt.select(
-        ((low * colours + middle) * colours + high).alias("triple"), "a", "b",
-        F.shiftleft(F.col("x"), 16).bitwiseOR(F.col("y")).alias("both"), (low == high).alias("one_colour"),
-    ).groupBy("triple").applyInArrow(_count_triple, "found long")
-
-    # hubs stand last in the order of (degree, id); a node lists the hubs behind itself
-    rank = F.struct("degree", "id")
-    toward = mirror(plain.withColumn("w", F.lit(1))).select(F.col("src").alias("node"), F.col("dst").alias("id"))
-    own = hubs.select(F.col("id").alias("node"), F.struct("degree", "id").alias("_own"))
-    later = (
-        toward.join(hubs, "id").select("node", rank.alias("hub")).join(F.broadcast(own), "node", "left")
-        .where(F.col("_own").isNull() | (F.col("_own") < F.col("hub")))
+    # a task for each block
+    place = (F.expr("y * (y + 1) div 2") + F.col("x")).cast("int")
+    blocks = dealt.repartitionById(colours * (colours + 1) // 2, place).select(
+        "a", "b", F.shiftleft("x", 16).bitwiseOR(F.col("y")).alias("both")
     )
-    lists = cut_lineage(later.groupBy("node").agg(F.collect_list("hub.id").alias("hubs")))
-    common = plain.join(lists.withColumnRenamed("node", "a").withColumnRenamed("hubs", "_left"), "a").join(
-        lists.withColumnRenamed("node", "b").withColumnRenamed("hubs", "_right"), "b"
+    path = new_folder(edges.sparkSession, "blocks")
+    blocks.sortWithinPartitions("both", "a", "b").write.partitionBy("both").parquet(path)
+    files: dict[int, list[str]] = {}
+    for file in map(unquote, edges.sparkSession.read.schema(blocks.schema).parquet(path).inputFiles()):
+        files.setdefault(_number(file), []).append(file)
+    return files
+
+
+def _number(file: str) -> int:
+    return int(re.search(r"/both=(\d+)/[^/]*$", file)[1])
+
+
+def _read_set(files: Iterable[tuple[str, bytes]], one_colour: bool) -> pa.Table:
+    """The edges in the files of one set of colours, as ``_count_triple`` takes them."""
+    tables = []
+    for file, content in files:
+        rows = pq.ParquetFile(pa.BufferReader(content)).read(["a", "b"], use_threads=False)
+        rows = rows.append_column("both", pa.array(np.full(len(rows), _number(file), np.int32)))
+        tables.append(rows.append_column("one_colour", pa.repeat(one_colour, len(rows))))
+    # what the reader is done with
+    pa.default_memory_pool().release_unused()
+    return pa.concat_tables(tables)
+
+
+def _sets(colours: int, filled: Container[int]) -> Iterator[tuple[list[int], bool]]:
+    """Blocks that hold all triangles of one set of one, two or three colours, and if it is of one.
+
+    Sets that can have none, by the blocks that are filled, are left out.
+    """
+
+    def between(*pairs: tuple[int, int]) -> list[int]:
+        return [x << 16 | y for x, y in pairs if x << 16 | y in filled]
+
+    for x in range(colours):
+        if own := between((x, x)):
+            yield own, True
+    for x, y in combinations(range(colours), 2):
+        if (own := between((x, x), (y, y))) and (side := between((x, y))):
+            yield own + side, False
+    for three in combinations(range(colours), 3):
+        if len(sides := between(*combinations(three, 2))) == 3:
+            yield sides, False
+
+
+def _count_blocks(spark: SparkSession, files: dict[int, list[str]], colours: int) -> int:
+    """Triangles by set of colours: a task reads the blocks of its set as they lie, nothing is shuffled or written."""
+    sc = spark.sparkContext
+    blocks = {number: sc.binaryFiles(",".join(paths), 1) for number, paths in files.items()}
+    found = 0
+    for sets in batched(_sets(colours, files), max(JOB_SETS, 2 * sc.defaultParallelism)):
+        # one partition for each set
+        parts = sc.union([sc.union([blocks[number] for number in numbers]).coalesce(1) for numbers, _ in sets])
+        alone = [one_colour for _, one_colour in sets]
+        counts = parts.mapPartitionsWithIndex(lambda i, rows, alone=alone: _count_triple(_read_set(rows, alone[i]))["found"].to_pylist())
+        found += sum(counts.collect())
+    return found
+
+
+def _with_hubs(edges: DataFrame, hubs: DataFrame) -> DataFrame:
+    """For each edge between nodes with hubs behind them, how many hubs they share: its triangles with a hub.
+
+    Hubs (id, degree) stand last in the order of (degree, id).  A node keeps the hubs behind itself
+    as bits, so an edge is shuffled with 8 bytes for 64 hubs, not with a list.
+    """
+    placed = hubs.select("id", (F.row_number().over(Window.orderBy("degree", "id")) - 1).alias("place"))
+    placed = F.broadcast(cut_lineage(placed))
+    own = placed.select(F.col("id").alias("node"), F.col("place").alias("_own"))
+    toward = mirror(edges.withColumn("w", F.lit(1))).select(F.col("src").alias("node"), F.col("dst").alias("id"))
+    later = (
+        toward.join(placed, "id").join(F.broadcast(own), "node", "left")
+        .where(F.col("_own").isNull() | (F.col("_own") < F.col("place")))
     )
-    with_hub = common.select(F.size(F.array_intersect("_left", "_right")).cast("long").alias("found"))
-    return counted.unionByName(with_hub).agg(F.coalesce(F.sum("found"), F.lit(0)).cast("long").alias("triangles"))
+    words = range(math.ceil(hubs.count() / 64))
+    masks = cut_lineage(later.groupBy("node").agg(*(
+        F.expr(f"bit_or(if(place div 64 = {k}, shiftleft(1L, cast(place % 64 as int)), 0L))").alias(f"m{k}") for k in words
+    )))
+    left = masks.select(F.col("node").alias("a"), *(F.col(f"m{k}").alias(f"l{k}") for k in words))
+    right = masks.select(F.col("node").alias("b"), *(F.col(f"m{k}").alias(f"r{k}") for k in words))
+    shared = sum((F.bit_count(F.col(f"l{k}").bitwiseAND(F.col(f"r{k}"))) for k in words), F.lit(0).cast("long"))
+    return edges.join(left, "a").join(right, "b").select(shared.alias("found"))
+
+
+def triangles(edges: DataFrame, node_degrees: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+    """Number of triangles, as one row.
+
+    Nodes get one of c colours by hash.  The edges between two colours are written once, as a
+    block, and each set of up to three colours is counted in one task, from its blocks: an edge is
+    shuffled and written once and read c times, ids only, however skewed the degrees are.
+
+    A node with more than edges / c neighbours would fill its blocks, so such hubs (2 c at
+    most) are taken out first.  Every node keeps the hubs behind it; the triangles with a hub are
+    the common later hubs of the two ends of an edge.  Both counts are exact.
+    """
+    n_edges = edges.count()
+    colours = colours_for(n_edges, task_edges)
+    # the degrees add up to 2 x edges: fewer than 2 x colours nodes can lie above this bound
+    hubs = cut_lineage(node_degrees.where(F.col("degree") > n_edges / colours).select("id", "degree"))
+    plain = light = edges.select("a", "b")
+    some_hubs = not hubs.isEmpty()
+    if some_hubs:
+        for end in ("a", "b"):
+            light = light.join(F.broadcast(hubs), F.col(end) == F.col("id"), "left_anti")
+    found = F.lit(_count_blocks(edges.sparkSession, _blocks(light, colours), colours)).cast("long")
+    if not some_hubs:
+        return edges.sparkSession.range(1).select(found.alias("triangles"))
+    return _with_hubs(plain, hubs).agg((found + F.coalesce(F.sum("found"), F.lit(0))).cast("long").alias("triangles"))
 
 
 def clustering(edges: DataFrame) -> DataFrame:
     """Closed triples over connected triples of the whole graph; NULL if no triple is connected."""
-    edges = cut_lineage(edges)
+    edges = cut_lineage(edges.select("a", "b"))
     node_degrees = cut_lineage(degrees(edges))
     triples = node_degrees.select(
         F.lit(0).cast("long").alias("triangles"), (F.col("degree") * (F.col("degree") - 1)).alias("connected_triples")

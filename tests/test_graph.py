@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import tracemalloc
 
@@ -163,3 +164,39 @@ def test_count_of_a_triple_holds_few_bytes_an_edge():
     assert got == [want]
     # most of it are the wedges of one step, however many edges there are
     assert peak < 24 << 20
+
+
+def shuffle_files(spark):
+    """Sizes of the shuffle files on the local disks, by path."""
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    paths = [os.path.join(at, name) for d in dirs for at, _, names in os.walk(d.getPath()) for name in names]
+    return {path: os.path.getsize(path) for path in paths if path.endswith(".data")}
+
+
+def test_an_edge_is_shuffled_once_however_many_colours(spark):
+    rng = random.Random(8)
+    pairs = {tuple(sorted(rng.sample(range(1500), 2))) for _ in range(40_000)}
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = sum(len(near[a] & near[b]) for a, b in pairs) // 3
+    edges = gr.cut_lineage(build(spark, [(a, b, 1.0) for a, b in pairs]))
+    node_degrees = gr.cut_lineage(gr.degrees(edges))
+    task_edges = 6 * len(pairs) // 144
+    assert gr.colours_for(len(pairs), task_edges) in (12, 13)
+    before = shuffle_files(spark)
+    assert gr.triangles(edges, node_degrees, task_edges).first()[0] == want
+    assert sum(size for path, size in shuffle_files(spark).items() if path not in before) < 40 * len(pairs)
+
+
+def test_triangles_of_more_hubs_than_a_word_has_bits(spark):
+    # every node has more neighbours than edges / colours: no edge is left for the blocks
+    edges = build(spark, [(a, b, 1.0) for a in range(80) for b in range(a + 1, 80)])
+    assert gr.colours_for(3160, 11) == 42
+    assert gr.triangles(edges, gr.degrees(edges), 11).first()[0] == 80 * 79 * 78 // 6
+
+
+def test_triangles_of_no_edges(spark):
+    edges = build(spark, [(1, 1, 1.0)])
+    assert gr.triangles(edges, gr.degrees(edges)).first()[0] == 0
